@@ -54,7 +54,7 @@ class _Words(dict):
     """Word to 64-bit hash, emptied when large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 250_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
