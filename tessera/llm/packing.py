@@ -8,8 +8,8 @@ fullest one closes first.
 
 Tokens are made where the document stands, and only lengths and checksums are
 shuffled.  Tokenisation is by word: the tokenizer drops white space and never
-looks across it, so each distinct word is encoded once per worker and its ids are
-reused (the cache is emptied when full).  The pieces are dealt to packing tasks
+looks across it, so a distinct word is encoded once per worker and its ids are
+reused, from a cache of bounded size.  The pieces are dealt to packing tasks
 of about ``task_pieces`` each, by hash, so their number grows with the data and a task's
 memory is bounded by its open sequences.
 
@@ -21,8 +21,10 @@ gives no pieces.  Null ids are packed like any other.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +37,52 @@ CAPACITY = 4096
 END = 1
 OPEN = 2048
 TASK_PIECES = 200_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 900_000
 
 _tokenizers: dict[str, "WordEncoder"] = {}
 
 
+#: Words of these letters are one unit to the tokenizer, and so is the punctuation that may follow them.
+_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_PUNCT = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class _Cache:
+    """A bounded map in two generations: when the young one is full it becomes the old one, and what is used again returns."""
+
+    def __init__(self, bound: int):
+        self.bound, self.young, self.old = bound // 2, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys that are in neither generation; those of the old one move to the young."""
+        if len(self.young) > self.bound:
+            self.young, self.old = {}, self.young
+        new = []
+        for k in keys.difference(self.young):
+            value = self.old.get(k)
+            if value is None:
+                new.append(k)
+            else:
+                self.young[k] = value
+        return new
+
+
 class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes, from a cache of encoded words."""
+    """Ids of whole texts as little-endian 32-bit bytes, from a cache of encoded words.
+
+    A word of plain letters with punctuation after it shares the ids of the letters, in lower case, with other such
+    words; letters new to the cache are encoded many at a time.  Any other word is encoded by itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.letters = _Cache(CACHE_WORDS), _Cache(CACHE_WORDS)
+        #: Whether an id ends a unit.
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.last[i] = token.endswith("</w>")
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -54,21 +90,49 @@ class WordEncoder:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Of words that are one unit each."""
+        out = []
+        for i in range(0, len(words), 512):
+            part = words[i : i + 512]
+            e = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(e.ids, "<u4")
+            cut, raw = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()], ids.tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in pairwise(cut)] if len(cut) == len(part) + 1 else self._each(part)
+        return out
+
+    def _learn(self, distinct: set[bytes]) -> None:
+        new, known, whole, plain, fits = self.words.missing(distinct), self.words.young, [], [], _LETTERS.fullmatch
+        for w in new:
+            core = w.rstrip(_PUNCT)
+            text = core.decode()
+            if fits(text):
+                plain.append((w, text.lower(), w[len(core) :]))
+            else:
+                whole.append(w)
+        for i in range(0, len(whole), 4096):
+            part = whole[i : i + 4096]
+            known.update(zip(part, self._each([w.decode() for w in part]), strict=True))
+        letters = self.letters.missing({x for _, x, _ in plain})
+        self.letters.young.update(zip(letters, self._together(letters), strict=True))
+        tails = list({t for _, _, t in plain if t})
+        tail = dict(zip(tails, self._each([t.decode() for t in tails]), strict=True)) | {b"": b""}
+        core = self.letters.young
+        for w, x, t in plain:
+            known[w] = core[x] + tail[t]
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words}.difference(self.cache))
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list({w for words in split for w in words})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]  # special tokens are told by case, all else is lower-cased
+        self._learn(set().union(*split))
+        find = self.words.young.__getitem__
         for words in split:
-            yield b"".join(map(self.cache.__getitem__, words))
+            yield b"".join(map(find, words))
 
 
-def _batches(texts: list[bytes], chars: int = 4 << 20) -> Iterator[list[bytes]]:
+def _batches(texts: list[bytes], chars: int = 8 << 20) -> Iterator[list[bytes]]:
     held, size = [], 0
     for t in texts:
         held.append(t)
