@@ -23,6 +23,8 @@ node id are ignored; a null conversation is a conversation.  An empty table give
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,23 +58,28 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """nodes(conv, node, parent, score) to (conv, branch, rank, leaf, depth, node): the nodes of the best branches, depth 0 at the root."""
     nodes = materialize(nodes.where("node is not null").groupBy("conv", "node").agg(F.min("parent").alias("parent"), F.min("score").alias("score")), "chat-nodes")
     step = materialize(_linked(nodes).withColumn("far", F.lit(1).cast("long")), "chat-step")
-    lifts, limit = [step], nodes.count()
-    while step.where("up is not null").limit(1).count() and (1 << len(lifts)) <= 2 * limit:
-        a, b = step.alias("a"), step.alias("b")
-        joined = a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.up") == F.col("b.node")), "left")
-        step = materialize(joined.select("a.conv", "a.node", F.col("b.up").alias("up"),
-                           (F.col("a.sum") + F.coalesce(F.col("b.sum"), F.lit(0.0))).alias("sum"),
-                           (F.col("a.far") + F.coalesce(F.col("b.far"), F.lit(0))).alias("far")), "chat-step")
-        lifts.append(step)
-    parents = lifts[0].where("up is not null").select("conv", F.col("up").alias("node")).distinct()
+    # Only nodes that have not reached their root go on; a table of ancestors is the written parts together.
+    done, active, limit = [step.where("up is null")], step.where("up is not null"), nodes.count()
+    lifts = [active]
+    while active.limit(1).count() and (1 << len(lifts)) <= 2 * limit:
+        known = reduce(DataFrame.union, [*done, active])
+        a, b = active.alias("a"), known.alias("b")
+        joined = a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.up") == F.col("b.node")))
+        new = materialize(joined.select("a.conv", "a.node", F.col("b.up").alias("up"), (F.col("a.sum") + F.col("b.sum")).alias("sum"),
+                                        (F.col("a.far") + F.col("b.far")).alias("far")), "chat-step")
+        done.append(new.where("up is null"))
+        active = new.where("up is not null")
+        lifts.append(active)
+    step = reduce(DataFrame.union, done)  # nodes on a cycle never get here
+    parents = lifts[0].select("conv", F.col("up").alias("node")).distinct()
     p = parents.alias("p")
-    s = step.where("up is null").alias("s")  # nodes on a cycle still have an ancestor
+    s = step.alias("s")
     leaves = s.join(p, F.col("s.conv").eqNullSafe(F.col("p.conv")) & (F.col("s.node") == F.col("p.node")), "left_anti")
     order = Window.partitionBy("conv").orderBy(F.desc(F.col("sum") / F.col("far")), F.desc("far"), "node")
     leaves = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
     paths = materialize(leaves.select("conv", "rank", F.col("node").alias("leaf"), F.col("far").alias("n"), "node", F.lit(0).cast("long").alias("above")), "chat-paths")
-    for k, lift in reversed(list(enumerate(lifts[:-1]))):  # distances are sums of distinct powers of two
-        a, b = paths.alias("a"), lift.where("up is not null").alias("b")
+    for k, lift in reversed(list(enumerate(lifts))):  # distances are sums of distinct powers of two
+        a, b = paths.alias("a"), lift.alias("b")
         more = a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.node") == F.col("b.node"))).select(
             "a.conv", "a.rank", "a.leaf", "a.n", F.col("b.up").alias("node"), (F.col("a.above") + (1 << k)).alias("above"))
         paths = materialize(paths.union(more), "chat-paths")
