@@ -38,7 +38,7 @@ def host_of(url: Column) -> Column:
 
 def lines_of(html: Column) -> Column:
     """Visible lines, trimmed, inner white space as one space, none empty."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
+    text = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", " ")
     text = F.regexp_replace(F.regexp_replace(text, _BLOCK, "\n"), r"<[^>]*>", " ")
     text = F.regexp_replace(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r" ?\n[ \n]*", "\n")
     return F.array_remove(F.split(F.trim(text), "\n"), "")
@@ -57,9 +57,10 @@ def line_dedup(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
                min_pages: int = MIN_PAGES, min_copies: int = MIN_COPIES) -> DataFrame:
     """Per row: id, host, n_lines, n_dropped, text (the lines that stay, joined by \\n)."""
     rows = pages.select(F.col(id_col).alias("page"), host_of(F.col(url_col)).alias("host"), lines_of(F.col(html_col)).alias("lines"))
-    hashed = materialize(rows.select("host", "page", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes")), "line-hashes")
-    bad = small(boilerplate(hashed, max_ratio, min_pages, min_copies), 100_000)
-    kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains("boilerplate", F.xxhash64(x))))
+    # Lines are taken from the html once, and written.
+    rows = materialize(rows.withColumn("hashes", F.transform("lines", lambda x: F.xxhash64(x))), "line-pages")
+    bad = small(boilerplate(rows, max_ratio, min_pages, min_copies), 100_000)
+    kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("boilerplate", F.get("hashes", i))))
     return rows.join(bad, "host", "left").withColumn("kept", kept).select(
         F.col("page").alias("id"), "host", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
         F.array_join("kept", "\n").alias("text"))
