@@ -1,0 +1 @@
+"""No streaming operators: the inventory that this engine covers is batch only."""
