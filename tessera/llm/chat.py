@@ -16,8 +16,8 @@ backslash inside, and a line break in a role becomes ``\\n``; unescaping restore
 The loss mask is a list of (start, length) in code points over assistant texts.
 
 Cases: a null text or role is empty.  A parent that does not exist makes its node a root;
-nodes on a cycle of parents have no root and belong to no path.  Repeated node ids in a
-conversation: the row with the smallest role and text stands.  A null score is 0.  Rows with a null
+nodes on a cycle of parents have no root and belong to no path.  Of rows that repeat a
+node id in a conversation, the smallest parent, the smallest score and the smallest (role, text) stand.  A null score is 0.  Rows with a null
 node id are ignored; a null conversation is a conversation.  An empty table gives none.
 """
 

@@ -20,4 +20,34 @@ ORACLE: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op4_minhash": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+                     ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM d),
+        u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+        l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        r AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a)
+        SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+        FROM s JOIN (SELECT x, min(y) AS c FROM r GROUP BY x) ON x = doc_id""",
+    "op6_line_dedup": r"""
+        WITH h AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
+            regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g') AS t FROM pages),
+        b AS (SELECT page_id, host, regexp_replace(regexp_replace(t, '(?i)</?(?:p|div|li|ul|ol|h[1-6]|nav|article|section|header|footer|table|tr|td|th|br|title|body|head|html|main|aside|blockquote|pre)\b[^>]*>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS t FROM h),
+        l AS (SELECT page_id, host, list_filter(string_split(trim(regexp_replace(regexp_replace(t, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')), chr(10)), lambda x: x <> '') AS lines FROM b),
+        u AS (SELECT DISTINCT host, page_id, unnest(lines) AS line FROM l),
+        n AS (SELECT host, count(DISTINCT page_id) AS pages FROM l GROUP BY host),
+        bad AS (SELECT host, list(line) AS x FROM (SELECT host, line, count(*) AS c FROM u GROUP BY ALL) JOIN n USING (host) WHERE pages >= 5 AND c >= 3 AND c > 0.3 * pages GROUP BY host),
+        k AS (SELECT page_id, host, lines, CASE WHEN x IS NULL THEN lines ELSE list_filter(lines, lambda y: NOT list_contains(x, y)) END AS kept FROM l LEFT JOIN bad USING (host))
+        SELECT page_id, host, len(lines) AS n_lines, len(lines) - len(kept) AS n_dropped, array_to_string(kept, chr(10)) AS text FROM k""",
+    "op9_chat": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        f AS (SELECT *, replace(replace(replace(role, '\', '\\'), '###', '#\##'), '</turn>', '<\/turn>') AS r,
+              replace(replace(replace(text, '\', '\\'), '###', '#\##'), '</turn>', '<\/turn>') AS t FROM c),
+        g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS s,
+              coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS l,
+              sum(length('### ' || replace(r, chr(10), '\n') || chr(10) || t || '</turn>' || chr(10))) AS k FROM f GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(s) AS turns_sha256, length(l) AS loss_chars, sha256(l) AS loss_sha256, CAST(k AS BIGINT) AS formatted_chars FROM g""",
 }
