@@ -279,9 +279,13 @@ def test_mixing(docs, spark):
         if df is big:
             assert all(abs(taken[s] - target[s]) <= 40 for s in order)
     mixed = mixing.mix(big, shards=4, block_words=500).collect()
-    per = collections.Counter((r.shard, r.doc.source) for r in mixed)
-    for s in order:
-        assert min(per[k, s] for k in range(4)) > 0  # quotas are spread over shards
+    quotas = spark.createDataFrame([("a", 101), ("b", 36), ("c", 3), ("d", 0)], "s string, quota long").selectExpr("struct(false as none, s as value) source_key", "quota")
+    cut = mixing.split_quotas(quotas, 4).collect()
+    per = collections.Counter()
+    for r in cut:
+        per[r.source_key.value] += r.n
+        per[r.shard] += r.n
+    assert [per[k] for k in ("a", "b", "c", "d", 0, 1, 2, 3)] == [101, 36, 3, 0, 35, 35, 35, 35] and min(r.n for r in cut) >= 0
     assert sum(len(words(r.doc.text)) for r in mixed) == sum(taken.values())
     assert sorted(map(str, mixed)) == sorted(map(str, mixing.mix(big, shards=4, block_words=500).collect()))
     assert mixing.mix(empty(docs)).count() == 0 and mixing.mix(docs).where("doc.doc_id = 12").count() <= 3
