@@ -25,19 +25,22 @@ import re
 import zlib
 from collections.abc import Iterator
 from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import bound_batches, claim, materialize
 
 CAPACITY = 4096
 END = 1
 OPEN = 2048
 TASK_PIECES = 200_000
-CACHE_WORDS = 900_000
+GROUP_BYTES = 8 << 20
+CACHE_WORDS = 800_000
+CACHE_LETTERS = 900_000
 
 _tokenizers: dict[str, "WordEncoder"] = {}
 
@@ -74,21 +77,23 @@ class WordEncoder:
     words; letters new to the cache are encoded many at a time.  Any other word is encoded by itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS, letters: int = CACHE_LETTERS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.letters = _Cache(CACHE_WORDS), _Cache(CACHE_WORDS)
+        self.words, self.letters = _Cache(words), _Cache(letters)
         #: Whether an id ends a unit.
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
 
     @classmethod
-    def of(cls, path: str) -> "WordEncoder":
-        if path not in _tokenizers:
-            _tokenizers[path] = cls(path)
-        return _tokenizers[path]
+    def of(cls, path: str, words: int, letters: int) -> "WordEncoder":
+        key = f"{path} {words} {letters}"
+        if key not in _tokenizers:
+            _tokenizers.clear()
+            _tokenizers[key] = cls(path, words, letters)
+        return _tokenizers[key]
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -105,24 +110,23 @@ class WordEncoder:
         return out
 
     def _learn(self, distinct: set[bytes]) -> None:
-        new, known, whole, plain, fits = self.words.missing(distinct), self.words.young, [], [], _LETTERS.fullmatch
+        new, known, fits = self.words.missing(distinct), self.words.young, _LETTERS.fullmatch
+        whole, plain, lower, after = [], [], [], []
         for w in new:
             core = w.rstrip(_PUNCT)
             text = core.decode()
             if fits(text):
-                plain.append((w, text.lower(), w[len(core) :]))
+                plain.append(w), lower.append(text.lower()), after.append(w[len(core) :])
             else:
                 whole.append(w)
         for i in range(0, len(whole), 4096):
             part = whole[i : i + 4096]
             known.update(zip(part, self._each([w.decode() for w in part]), strict=True))
-        letters = self.letters.missing({x for _, x, _ in plain})
+        letters = self.letters.missing(set(lower))
         self.letters.young.update(zip(letters, self._together(letters), strict=True))
-        tails = list({t for _, _, t in plain if t})
+        tails = [t for t in set(after) if t]
         tail = dict(zip(tails, self._each([t.decode() for t in tails]), strict=True)) | {b"": b""}
-        core = self.letters.young
-        for w, x, t in plain:
-            known[w] = core[x] + tail[t]
+        known.update(zip(plain, map(add, map(self.letters.young.__getitem__, lower), map(tail.__getitem__, after)), strict=True))
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]  # special tokens are told by case, all else is lower-cased
@@ -132,30 +136,36 @@ class WordEncoder:
             yield b"".join(map(find, words))
 
 
-def _batches(texts: list[bytes], chars: int = 8 << 20) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """(ids, texts) of batches put together until their texts have GROUP_BYTES."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        ids.append(batch.column(0))
+        more = [t or b"" for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
+        texts += more
+        size += sum(map(len, more))
+        if size >= GROUP_BYTES:
+            yield pa.concat_arrays(ids), texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), texts
 
 
 def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
-           ids: bool = False) -> DataFrame:
-    """Pieces of every document: id, piece, start, length, ids_crc32 (and, with ids=True, the ids as binary)."""
+           ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS) -> DataFrame:
+    """Pieces of every document: id, piece, start, length, ids_crc32 (and, with ids=True, the ids as binary).
+
+    The caches bound a worker's memory (about 150 bytes an entry), not its results.
+    """
+    bound_batches(docs.sparkSession)
     tail = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder.of(tokenizer)
-        for batch in batches:
-            names = batch.column(0)
+        claim("packing", _tokenizers.clear)
+        encoder = WordEncoder.of(tokenizer, cache_words, cache_letters)
+        for names, texts in _groups(batches):
             where, piece, start, length, crc, held = [], [], [], [], [], []
-            texts = (t or b"" for t in batch.column(1).cast(pa.large_binary()).to_pylist())
-            coded = (c + tail for group in _batches(list(texts)) for c in encoder.encode(group))
+            coded = (c + tail for c in encoder.encode(texts))
             for i, tokens in enumerate(coded):
                 for k, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at : at + 4 * capacity]
@@ -227,9 +237,10 @@ def pack(cut: DataFrame, *, capacity: int = CAPACITY, open_sequences: int = OPEN
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
-                   ids: bool = False, **options: int) -> DataFrame:
+                   ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, **options: int) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
-    cut = materialize(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end=end, ids=ids), "pack-pieces")
+    cut = materialize(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end=end, ids=ids,
+                             cache_words=cache_words, cache_letters=cache_letters), "pack-pieces")
     return pack(cut, capacity=capacity, **options)
 
 
