@@ -8,9 +8,13 @@ machine) a temporary folder takes its place.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +26,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 _own_dir: list[str] = []
 
+#: Of a Python worker: what forgets the words that an operator has cached, and the operator that caches now.
+_forget: dict[str, Callable[[], None]] = {}
+_caching: list[str] = [""]
+
+
+def claim(owner: str, forget: Callable[[], None]) -> None:
+    """Called by tasks that cache words: a worker lives on from stage to stage, and keeps one operator's cache at a time."""
+    if _caching[0] != owner:
+        _forget.get(_caching[0], lambda: None)()
+        _caching[0], _forget[owner] = owner, forget
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library can give freed memory back
+            ctypes.CDLL(None).malloc_trim(0)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share."""
@@ -33,6 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[0]
 
 
+def bound_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Limits Arrow batches of the session by bytes, unless a limit as low is set: rows of long texts would make them huge."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not now.isdigit() or int(now) > size:
+        spark.conf.set(key, str(size))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 

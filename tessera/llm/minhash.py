@@ -37,12 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, materialize, small
+from tessera.llm.common import bound_batches, claim, components, materialize, small
 
 WIDTH = 5
 PERCENT = 80
 HASHES, TREES, DEPTH = 128, 32, 8
-MIN_DEPTH, REGION = 2, 6
+MIN_DEPTH, REGION = 2, 16
 SKETCH_MATCHES = 92
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(4)
@@ -123,6 +123,7 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
         n = pa.array([len(s) for s in sets], pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), n, *(pa.array(x, pa.binary()) for x in (key, sig, sketch))], names=["id", "n_shingles", "set_key", "sig", "sketch"])
 
+    claim("minhash", _words.clear)
     for batch in batches:
         ids, sets, size = [], [], 0
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True):
@@ -138,6 +139,7 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 
 def sign(docs: DataFrame, width: int = WIDTH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, set_key, sig, sketch (the last three null for an empty set)."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(lambda b: _signed(b, width), "id bigint, n_shingles bigint, set_key binary, sig binary, sketch binary")
 
@@ -219,12 +221,14 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int = WIDTH, percent: int
     A text travels once for each of its pairs; texts without pairs do not
     travel while the table of pairs is small enough to broadcast.
     """
+    bound_batches(docs.sparkSession)
     sides = pairs.select(F.explode(F.array("a", "b")).alias("id"), "a", "b")
     sides = F.broadcast(sides) if pairs.count() <= 500_000 else sides
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     met = texts.join(sides, "id").select("a", "b", "id", "text").repartition("a", "b").sortWithinPartitions("a", "b", "id")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("minhash", _words.clear)
         pair, left, linked = None, [], False
         for batch in batches:
             out = []

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import key_part, materialize, small
+from tessera.llm.common import bound_batches, claim, key_part, materialize, small
 from tessera.llm.quality_rules import measure_text
 
 FIT_ROWS = 8_000
@@ -86,6 +86,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int =
 
 def _logits(docs: DataFrame, weight: np.ndarray) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("classifier", _buckets.clear)
         for batch in batches:
             z = [float(v @ weight[i]) for i, v in (features(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("host"), batch.column("path"), pa.array(z, pa.float64())], names=["id", "host", "path", "logit"])
@@ -119,6 +120,7 @@ def site_posteriors(labelled: DataFrame) -> DataFrame:
 def quality_classifier(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                        path_col: str = "lang", fit_rows: int = FIT_ROWS, cutoff: float = CUTOFF) -> DataFrame:
     """Per row: id, logit (document alone), site_rate (posterior of its path), probability of good quality, kept."""
+    bound_batches(docs.sparkSession)
     labels = labels.where("id is not null and quality is not null").groupBy("id").agg(F.min("quality").cast("int").alias("quality"))
     rows = docs.select(F.col(id_col).alias("id"), key_part(F.col(host_col)).alias("host"), key_part(F.col(path_col)).alias("path"), F.col(text_col).cast("string").alias("text"))
     labelled = materialize(rows.select("id", "host", "path").join(labels, "id"), "quality-labelled")
@@ -126,6 +128,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc
     chosen = F.broadcast(labelled.select("id", "quality").distinct().orderBy(F.xxhash64("id", F.lit(10)), "id").limit(fit_rows))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("classifier", _buckets.clear)
         for batch in batches:
             found = [features(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()),

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import key_part, materialize, small
+from tessera.llm.common import bound_batches, claim, key_part, materialize, small
 
 ALPHA = 0.02
 DELTA = 0.05
@@ -79,6 +79,7 @@ def measure_text(text: bytes) -> tuple[int, ...]:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("", lambda: None)
     for batch in batches:
         row = batch.column(0)
         text = row.field("tessera_text")
@@ -89,6 +90,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame, text_col: str = "text", carry: Column | None = None) -> DataFrame:
     """carry's struct (``row``) beside the COUNTS of the text."""
+    bound_batches(docs.sparkSession)
     inner = F.struct(F.col(text_col).alias("tessera_text"), (carry if carry is not None else F.struct("*")).alias("kept"))
     rows = docs.select(inner.alias("row"))
     schema = T.StructType([rows.schema["row"], *(T.StructField(c, T.LongType()) for c in COUNTS)])

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, new_path, small
+from tessera.llm.common import bound_batches, materialize, new_path, small
 
 MIN_REVISIT = 100
 LEVEL = 4
@@ -150,6 +150,7 @@ def mark_revisits(pages: DataFrame, *, id_col: str, html_col: str, min_bytes: in
 def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                min_bytes: int = MIN_REVISIT, level: int = LEVEL) -> DataFrame:
     """Writes pages as archives below path; returns (path, bytes, records) of the archives, written and counted."""
+    bound_batches(pages.sparkSession)
     rows = mark_revisits(pages, id_col=id_col, html_col=html_col, min_bytes=min_bytes).select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"),
         F.col("tessera_digest").alias("digest"), F.col("tessera_refers").cast("long").alias("refers"))
