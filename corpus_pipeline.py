@@ -34,7 +34,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every row, with its sequence and place."""
-    return packing.pack_documents(docs, tokenizer_path()).withColumnRenamed("id", "doc_id")
+    # Small caches: a worker's memory also holds what earlier stages left.
+    found = packing.pack_documents(docs, tokenizer_path(), cache_words=200_000, cache_letters=200_000, keep_cache=False)
+    return found.withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("quality rules", rules), ("exact dedup", exact), ("near dedup", near), ("mixing", mixed), ("packing", packed)]

@@ -36,9 +36,14 @@ def claim(owner: str, forget: Callable[[], None]) -> None:
     if _caching[0] != owner:
         _forget.get(_caching[0], lambda: None)()
         _caching[0], _forget[owner] = owner, forget
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only where the C library can give freed memory back
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
+
+
+def release() -> None:
+    """Called at the end of tasks: gives freed memory back to the system, as an idle worker would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def shared_dir(spark: SparkSession) -> str:

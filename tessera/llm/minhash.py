@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, claim, components, materialize, small
+from tessera.llm.common import bound_batches, claim, components, materialize, release, small
 
 WIDTH = 5
 PERCENT = 80
@@ -135,6 +135,8 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
                 ids, sets, size = [], [], 0
         if ids:
             yield flush(ids, sets)
+    _words.clear()
+    release()
 
 
 def sign(docs: DataFrame, width: int = WIDTH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,6 +247,8 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int = WIDTH, percent: int
                     if linked:
                         out.append(pair)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        _words.clear()
+        release()
 
     return met.mapInArrow(check, "a bigint, b bigint")
 

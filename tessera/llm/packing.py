@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, claim, materialize
+from tessera.llm.common import bound_batches, claim, materialize, release
 
 CAPACITY = 4096
 END = 1
@@ -152,10 +152,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[
 
 
 def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
-           ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS) -> DataFrame:
+           ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, keep_cache: bool = True) -> DataFrame:
     """Pieces of every document: id, piece, start, length, ids_crc32 (and, with ids=True, the ids as binary).
 
-    The caches bound a worker's memory (about 150 bytes an entry), not its results.
+    The caches bound a worker's memory (about 150 bytes an entry), not its results; without keep_cache a worker forgets them after each task.
     """
     bound_batches(docs.sparkSession)
     tail = np.array([end], "<u4").tobytes()
@@ -174,6 +174,10 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
                         held.append(part)
             columns = [names.take(pa.array(where, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.binary())] * ids, names=["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids)
+        if not keep_cache:
+            _tokenizers.clear()
+        del encoder
+        release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -237,10 +241,10 @@ def pack(cut: DataFrame, *, capacity: int = CAPACITY, open_sequences: int = OPEN
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
-                   ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, **options: int) -> DataFrame:
+                   ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, keep_cache: bool = True, **options: int) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     cut = materialize(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end=end, ids=ids,
-                             cache_words=cache_words, cache_letters=cache_letters), "pack-pieces")
+                             cache_words=cache_words, cache_letters=cache_letters, keep_cache=keep_cache), "pack-pieces")
     return pack(cut, capacity=capacity, **options)
 
 

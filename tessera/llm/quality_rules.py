@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bound_batches, claim, key_part, materialize, small
+from tessera.llm.common import bound_batches, claim, key_part, materialize, release, small
 
 ALPHA = 0.02
 DELTA = 0.05
@@ -86,6 +86,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [measure_text(t or b"") for t in text.cast(pa.large_binary()).to_pylist()]
         counts = [pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * len(COUNTS))]
         yield pa.RecordBatch.from_arrays([row, *counts], names=["row", *COUNTS])
+    release()
 
 
 def measure(docs: DataFrame, text_col: str = "text", carry: Column | None = None) -> DataFrame:
