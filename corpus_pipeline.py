@@ -34,8 +34,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every row, with its sequence and place."""
-    # Small caches: a worker's memory also holds what earlier stages left.
-    found = packing.pack_documents(docs, tokenizer_path(), cache_words=200_000, cache_letters=200_000, keep_cache=False)
+    # Small caches and groups: a worker's memory also holds what earlier stages left.
+    found = packing.pack_documents(docs, tokenizer_path(), cache_words=200_000, cache_letters=200_000, keep_cache=False, group_bytes=1 << 20)
     return found.withColumnRenamed("id", "doc_id")
 
 

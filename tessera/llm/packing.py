@@ -21,6 +21,7 @@ gives no pieces.  Null ids are packed like any other.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -80,6 +81,7 @@ class WordEncoder:
     def __init__(self, path: str, words: int = CACHE_WORDS, letters: int = CACHE_LETTERS):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.words, self.letters = _Cache(words), _Cache(letters)
         #: Whether an id ends a unit.
@@ -136,26 +138,29 @@ class WordEncoder:
             yield b"".join(map(find, words))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
-    """(ids, texts) of batches put together until their texts have GROUP_BYTES."""
+def _groups(batches: Iterator[pa.RecordBatch], group_bytes: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """(ids, texts) of rows put together until their texts have group_bytes; no more than that and one text."""
     ids, texts, size = [], [], 0
     for batch in batches:
-        ids.append(batch.column(0))
-        more = [t or b"" for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
-        texts += more
-        size += sum(map(len, more))
-        if size >= GROUP_BYTES:
-            yield pa.concat_arrays(ids), texts
-            ids, texts, size = [], [], 0
-    if ids:
+        begin = 0
+        for end, text in enumerate(batch.column(1).cast(pa.large_binary()), 1):
+            texts.append(text.as_py() or b"")
+            size += len(texts[-1])
+            if size >= group_bytes:
+                yield pa.concat_arrays([*ids, batch.column(0)[begin:end]]), texts
+                ids, texts, size, begin = [], [], 0, end
+        ids.append(batch.column(0)[begin:])
+    if texts:
         yield pa.concat_arrays(ids), texts
 
 
 def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
-           ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, keep_cache: bool = True) -> DataFrame:
+           ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, keep_cache: bool = True,
+           group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Pieces of every document: id, piece, start, length, ids_crc32 (and, with ids=True, the ids as binary).
 
-    The caches bound a worker's memory (about 150 bytes an entry), not its results; without keep_cache a worker forgets them after each task.
+    The caches (about 150 bytes an entry) and group_bytes (texts split into words at a time, about ten times as large then)
+    bound a worker's memory, not its results; without keep_cache a worker forgets the caches after each task.
     """
     bound_batches(docs.sparkSession)
     tail = np.array([end], "<u4").tobytes()
@@ -163,7 +168,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("packing", _tokenizers.clear)
         encoder = WordEncoder.of(tokenizer, cache_words, cache_letters)
-        for names, texts in _groups(batches):
+        for names, texts in _groups(batches, group_bytes):
             where, piece, start, length, crc, held = [], [], [], [], [], []
             coded = (c + tail for c in encoder.encode(texts))
             for i, tokens in enumerate(coded):
@@ -241,10 +246,11 @@ def pack(cut: DataFrame, *, capacity: int = CAPACITY, open_sequences: int = OPEN
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
-                   ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, keep_cache: bool = True, **options: int) -> DataFrame:
+                   ids: bool = False, cache_words: int = CACHE_WORDS, cache_letters: int = CACHE_LETTERS, keep_cache: bool = True,
+                   group_bytes: int = GROUP_BYTES, **options: int) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     cut = materialize(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end=end, ids=ids,
-                             cache_words=cache_words, cache_letters=cache_letters, keep_cache=keep_cache), "pack-pieces")
+                             cache_words=cache_words, cache_letters=cache_letters, keep_cache=keep_cache, group_bytes=group_bytes), "pack-pieces")
     return pack(cut, capacity=capacity, **options)
 
 
