@@ -11,13 +11,15 @@ borders of partitions are scanned once more, together.
 Candidates are neighbours in such an order.  A region is a run of rows with a common prefix; its
 depth grows from ``MIN_DEPTH`` until it has at most ``REGION`` rows, and all its pairs
 are candidates; a region that is denser at full depth gives each row the
-next one, its longest-common-prefix neighbour.  Rows carry two bits of each
+next one, its longest-common-prefix neighbour, and comes back at the end (below).  Rows carry two bits of each
 minimum; candidates below ``SKETCH_MATCHES`` of 128 equal fields are left out (a pair of similarity 0.8 is
 left out with probability 3e-5, one of 0.9 never in practice).
 
 Links are confirmed on the full sets, rebuilt from the texts: first the best
 candidate of each document, then, of the other candidates, all whose ends are
-not yet connected.  Connected components end it.  A pair at similarity 0.8
+not yet connected.  Of the regions denser at full depth, the rows that are then not
+connected with the region's main component are candidates with all rows of the
+region that they are not connected with.  Connected components end it.  A pair at similarity 0.8
 misses all 32 orders with probability below 1e-5 at depth five.
 
 Cases: null text, or text without words, has an empty set and is linked with
@@ -41,8 +43,8 @@ from tessera.llm.common import bound_batches, claim, components, materialize, re
 
 WIDTH = 5
 PERCENT = 80
-HASHES, TREES, DEPTH = 128, 32, 8
-MIN_DEPTH, REGION = 2, 16
+HASHES, TREES, DEPTH = 128, 32, 16
+MIN_DEPTH, REGION = 2, 64
 SKETCH_MATCHES = 92
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(4)
@@ -115,9 +117,9 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
         sig, key, sketch = [None] * len(sets), [None] * len(sets), [None] * len(sets)
         if full:
             made = signatures([sets[i] for i in full])
-            bits = sketches(made)
+            bits, low = sketches(made), made.astype(">u2")  # the low half of a minimum tells it from others
             for row, i in enumerate(full):
-                sig[i] = made[row].tobytes() + made[row, :DEPTH].tobytes()  # wraps round
+                sig[i] = low[row].tobytes() + low[row, :DEPTH].tobytes()  # wraps round
                 key[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 sketch[i] = bits[row].tobytes()
         n = pa.array([len(s) for s in sets], pa.int64())
@@ -146,12 +148,12 @@ def sign(docs: DataFrame, width: int = WIDTH, *, id_col: str = "doc_id", text_co
     return rows.mapInArrow(lambda b: _signed(b, width), "id bigint, n_shingles bigint, set_key binary, sig binary, sketch binary")
 
 
-def neighbours(tree: np.ndarray, keys: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, matches) of the candidates among sorted rows."""
+def neighbours(tree: np.ndarray, keys: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, matches) of the candidates among sorted rows, and the rows of regions that are too dense at full depth."""
     n = len(tree)
     none = np.empty(0, np.int64)
     if n < 2:
-        return none, none, none
+        return none, none, none, none
     same = np.cumprod(keys[1:] == keys[:-1], axis=1, dtype=np.int8).sum(axis=1) * (tree[1:] == tree[:-1])  # LCP with the next row
     # The depth of each row's region: the least at which its run has at most REGION rows, DEPTH + 1 if none.
     depth = np.full(n, DEPTH + 1)
@@ -168,19 +170,19 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, sketch: np.ndarray) -> tuple[
     i, j = np.concatenate(found_i), np.concatenate(found_j)
     m = matches(sketch[i], sketch[j])
     near = m >= SKETCH_MATCHES
-    return i[near], j[near], m[near]
+    return i[near], j[near], m[near], np.flatnonzero(depth > DEPTH)
 
 
 _PAIRS = "a bigint, b bigint, matches int, tree int, key binary, sketch binary, id bigint"
 
 
 def _scan(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
-    """Candidates of sorted (tree, key, sketch, id); with edges, the first and last rows come out too, without a and b."""
+    """Candidates of sorted (tree, key, sketch, id), and rows without a and b: those of dense regions (matches 0) and, with edges, the first and last."""
     held, first = None, True
 
-    def border(rows: tuple) -> pa.RecordBatch:
+    def alone(rows: tuple, mark: int | None = None) -> pa.RecordBatch:
         tree, keys, sketch, ids = rows
-        none = [pa.nulls(len(ids), t) for t in (pa.int64(), pa.int64(), pa.int32())]
+        none = [pa.nulls(len(ids), pa.int64())] * 2 + [pa.array([mark] * len(ids), pa.int32())]
         return pa.RecordBatch.from_arrays([*none, pa.array(tree, pa.int32()), pa.array([k.tobytes() for k in keys], pa.binary()),
                                            pa.array([s.tobytes() for s in sketch], pa.binary()), pa.array(ids, pa.int64())], names=names)
 
@@ -190,31 +192,54 @@ def _scan(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordB
         if not n:
             continue
         fixed = lambda c, kind, w: np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).reshape(n, w)
-        rows = (batch.column("tree").to_numpy(zero_copy_only=False), fixed("key", ">u4", DEPTH), fixed("sketch", "<u8", 4), batch.column("id").to_numpy(zero_copy_only=False))
+        rows = (batch.column("tree").to_numpy(zero_copy_only=False), fixed("key", ">u2", DEPTH), fixed("sketch", "<u8", 4), batch.column("id").to_numpy(zero_copy_only=False))
         if edges and first:
-            yield border(tuple(x[:REGION] for x in rows))
+            yield alone(tuple(x[:REGION] for x in rows))
         first = False
         rows = rows if held is None else tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
-        i, j, m = neighbours(*rows[:3])
+        i, j, m, dense = neighbours(*rows[:3])
         ids = rows[3]
         a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
         if len(a):
             empty = [pa.nulls(len(a), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m, pa.int32()), *empty], names=names)
+        if len(dense):
+            yield alone(tuple(x[dense] for x in rows), 0)
         held = tuple(x[-REGION:] for x in rows)
     if edges and held is not None:
-        yield border(held)
+        yield alone(held)
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a, b, matches), a < b, of signed(id, sig, sketch)."""
-    key = F.expr(f"substring(sig, tree * {4 * HASHES // TREES} + 1, {4 * DEPTH})")
+def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of signed(id, sig, sketch): distinct candidate pairs (a, b, matches), a < b, and the rows (tree, key, sketch, id) of dense regions."""
+    key = F.expr(f"substring(sig, tree * {2 * HASHES // TREES} + 1, {2 * DEPTH})")
     rows = signed.select("id", "sketch", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select("tree", key.alias("key"), "sketch", "id")
     order = ["tree", "key", "id"]
     found = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(lambda b: _scan(b, True), _PAIRS), "forest-scan")
-    borders = found.where("a is null").select("tree", "key", "sketch", "id").distinct().coalesce(1).sortWithinPartitions(*order)
-    crossing = borders.mapInArrow(lambda b: _scan(b, False), _PAIRS)
-    return found.where("a is not null").select("a", "b", "matches").union(crossing.select("a", "b", "matches")).where("a <> b").distinct()
+    borders = found.where("a is null and matches is null").select("tree", "key", "sketch", "id").distinct().coalesce(1).sortWithinPartitions(*order)
+    crossing = materialize(borders.mapInArrow(lambda b: _scan(b, False), _PAIRS), "forest-crossing")
+    both = found.union(crossing)
+    return both.where("a <> b").select("a", "b", "matches").distinct(), both.where("a is null and matches = 0").select("tree", "key", "sketch", "id").distinct()
+
+
+def across(dense: DataFrame, joined: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of rows of one dense region that joined(node, component) leaves apart.
+
+    Each row outside its region's main component meets the rows that it is not
+    connected with; a region of one component, the usual case, gives none.  The
+    join's sides are regions, and adaptive execution splits a large one.
+    """
+    of = joined.select(F.col("node").alias("id"), F.col("component").alias("of"))
+    rows = dense.join(of, "id", "left").withColumn("of", F.coalesce("of", "id"))
+    sizes = rows.groupBy("tree", "key", "of").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("tree", "key").agg(F.max_by("of", F.struct("n", "of")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    rows = materialize(rows.join(main.drop("parts"), ["tree", "key"]), "forest-dense")
+    x, y = rows.where("of <> main").alias("x"), rows.alias("y")
+    met = x.join(y, ["tree", "key"]).where("x.of <> y.of")
+    word = lambda side, i: F.conv(F.hex(F.substring(F.col(f"{side}.sketch"), 8 * i + 1, 8)), 16, -10).cast("long")
+    apart = [word("x", i).bitwiseXOR(word("y", i)) for i in range(4)]
+    equal = HASHES - sum(F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555))) for d in apart)
+    return met.where(equal >= SKETCH_MATCHES).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, width: int = WIDTH, percent: int = PERCENT, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,7 +284,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     signed = materialize(sign(docs, width, **names), "forest-signed")
     sets = signed.where("set_key is not null and id is not null")
     classes = materialize(sets.groupBy("set_key").agg(F.min("id").alias("rep"), F.min_by("sig", "id").alias("sig"), F.min_by("sketch", "id").alias("sketch")), "forest-classes")
-    pairs = materialize(candidates(classes.select(F.col("rep").alias("id"), "sig", "sketch")), "forest-pairs")
+    pairs, dense = candidates(classes.select(F.col("rep").alias("id"), "sig", "sketch"))
+    pairs = materialize(pairs, "forest-pairs")
     best = pairs.groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
     best = materialize(best, "forest-best")
     first = materialize(confirm(docs, best, width, percent, **names), "forest-links")
@@ -268,8 +294,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rest = (pairs.join(best, ["a", "b"], "left_anti").join(ends("a"), "a", "left").join(ends("b"), "b", "left")
             .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
     second = confirm(docs, materialize(rest, "forest-rest"), width, percent, **names)
+    joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
+    apart = materialize(across(dense, joined).join(pairs, ["a", "b"], "left_anti"), "forest-apart")
+    if apart.limit(1).count():
+        third = confirm(docs, apart, width, percent, **names)
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(third))
     # Equal ids with several texts put several sets under one node.
-    final = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second)).withColumnRenamed("node", "rep")
+    final = joined.withColumnRenamed("node", "rep")
     of_set = classes.select("set_key", "rep").join(final, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     return signed.select("id", "n_shingles", "set_key").join(of_set, "set_key", "left").select(
         "id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")).withColumn(

@@ -166,6 +166,26 @@ def test_near_duplicates(spark, docs, k):
     assert minhash.filter_documents(docs).columns == docs.columns
 
 
+def test_dense_regions(monkeypatch):
+    """Rows of a region with more than REGION rows at full depth are told, and linked with the next one only."""
+    monkeypatch.setattr(minhash, "REGION", 3)
+    monkeypatch.setattr(minhash, "DEPTH", 2)
+    keys = np.array([[1, 1]] * 5 + [[2, 1], [2, 2]], ">u2")
+    i, j, m, dense = minhash.neighbours(np.zeros(7, np.int32), keys, np.zeros((7, 4), np.uint64))
+    pairs = set(zip(i.tolist(), j.tolist()))
+    assert dense.tolist() == [0, 1, 2, 3, 4] and {(0, 1), (1, 2), (2, 3), (3, 4)} <= pairs and (0, 2) not in pairs and set(m.tolist()) == {minhash.HASHES}
+
+
+def test_across(spark):
+    """Rows of a dense region meet those that they are not connected with, if their sketches agree."""
+    sets = [np.arange(1000, 1200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(4)] + [np.arange(200, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)]
+    sketch = [x.tobytes() for x in minhash.sketches(minhash.signatures(sets))]
+    dense = spark.createDataFrame([(0, bytearray(b"k"), bytearray(s), i) for i, s in enumerate(sketch)], "tree int, key binary, sketch binary, id long")
+    joined = spark.createDataFrame([(0, 0), (1, 0), (2, 2)], "node long, component long")
+    assert sorted(map(tuple, minhash.across(dense, joined).collect())) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
+    assert minhash.across(dense.limit(0), joined).count() == 0
+
+
 def test_sketch_agrees_with_signature():
     rng = np.random.default_rng(0)
     a = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
