@@ -2,15 +2,21 @@
 
 Every document is measured once over its whole text.  A document that fails the
 base rule is rejected outright.  Beyond it, each rule compares one ratio with a
-cutoff, and cutoffs are not set by hand: for each stratum (language by default)
-and rule a fixed ladder of cutoffs runs from lenient to strict, and a labelled
-holdout of good documents says how many of them each rung would reject.  A rung
-is certified when the exact binomial test P(Bin(n, alpha / rules) <= k) is at
-most delta / (strata * rules): Bonferroni over strata and rules, fixed-sequence
-testing along a ladder (it stops at the first rung that fails, so the rungs
-need no further correction).  With probability 1 - delta, no stratum's false
-rejection by the rules together exceeds alpha.  A stratum with too few labels
-certifies nothing, and the rules reject nothing there.
+cutoff, and cutoffs are not set by hand: each rule has a fixed ladder of cutoffs
+from lenient to strict, and for each stratum (language by default) a labelled
+holdout of good documents says how many of them cutoffs would reject.  The
+rules of a stratum are certified jointly, along one fixed chain for each rule:
+its ladder, then those of the rules after it, round to the one before it, each
+beside the strictest rungs of the former (so a rule that rejects good documents
+at once comes last in one chain).  A step of a chain is certified when the exact binomial test P(Bin(n, alpha) <= k)
+for rejection by any of its rules is at most delta / (strata * chains):
+Bonferroni over strata and chains, fixed-sequence testing along a chain (it
+stops at the first step that fails, so the steps need no further correction).
+With probability 1 - delta, every certified step of every stratum rejects at
+most alpha of the good documents, so any may be used: of them, the one that
+rejects the most labelled bad documents, then the strictest, then the one that
+rejects the fewest good ones.  A stratum with too few labels (at alpha 0.02 and delta 0.05, under
+306 good ones with four strata) certifies nothing, and the rules reject nothing there.
 
 Cases: null or empty text has no words and fails the base rule.  A null stratum
 is a stratum of its own.  Repeated rows are measured one by one.  Labels with a
@@ -45,6 +51,8 @@ RULES: dict[str, tuple[str, str, int, tuple[float, ...]]] = {
     "caps": ("n_upper", "word_chars", 1, (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
 }
 
+RUNGS = 8  # of each ladder
+STEPS = RUNGS * len(RULES)  # of each chain
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 _SYMBOLS, _SPACES, _UPPER = b"#*$%&|<>", b" \t\n\x0b\x0c\r", bytes(range(65, 91))
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -125,24 +133,57 @@ def certified(n: int, rejected: list[int], ladder: tuple[float, ...], risk: floa
     return best
 
 
+def _chain(start: int) -> list[str]:
+    """The rules in the order of a chain."""
+    return [*RULES][start:] + [*RULES][:start]
+
+
+def _first_steps() -> Column:
+    """For the chain of each rule, the first step that rejects the document, STEPS if none does."""
+    first = {r: sum((~_breaks(r, c)).cast("int") for c in x[3]) for r, x in RULES.items()}  # ladders only grow stricter
+    step = lambda k, r: F.when(first[r] < RUNGS, k * RUNGS + first[r])
+    return F.array(*(F.coalesce(*(step(k, r) for k, r in enumerate(_chain(c))), F.lit(STEPS)) for c in range(len(RULES))))
+
+
+def cutoffs_of(chain: int, step: int) -> dict[str, float]:
+    """The cutoffs of a step of a chain; rules that it has not reached have none."""
+    return {r: RULES[r][3][min(step - k * RUNGS, RUNGS - 1)] for k, r in enumerate(_chain(chain)) if step >= k * RUNGS}
+
+
+def chosen(found: list[tuple[int, int, int, int]], risk: float, level: float) -> dict[str, float]:
+    """The cutoffs of a stratum from its counts (chain, first step that rejects, good, bad); empty if nothing is certified."""
+    best, n = None, sum(g for c, _, g, _ in found if c == 0)
+    for chain in range(len(RULES)):
+        upto = lambda k: [sum(x[k] for x in found if x[0] == chain and x[1] <= i) for i in range(STEPS)]  # noqa: B023, E731
+        good, bad = upto(2), upto(3)
+        last = certified(n, good, tuple(range(STEPS)), risk, level)
+        for step in range(-1 if last is None else int(last) + 1):
+            rank = (bad[step], step, -good[step], -chain)
+            best = max(best or (rank, chain, step), (rank, chain, step))
+    return cutoffs_of(*best[1:]) if best else {}
+
+
 def calibrate(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Cutoffs for each stratum of stats(id, stratum, *COUNTS): one row (stratum, cut_<rule>...), null where none is certified.
 
-    labels(id, quality) is the holdout; only its good documents (quality 1)
-    that pass the base rule count.  The result has one row per labelled stratum.
+    labels(id, quality) is the holdout; only its documents that pass the base
+    rule count, good ones (quality 1) for certifying and the others for choosing
+    among certified steps.  The result has one row per stratum with good labels.
     """
     labels = labels.where("id is not null and quality is not null").groupBy("id").agg(F.min("quality").alias("quality"))
-    good = stats.join(labels.where("quality = 1"), "id").where(~base_failed())
-    sums = [F.sum(_breaks(r, c).cast("long")).alias(f"{r}_{i}") for r, x in RULES.items() for i, c in enumerate(x[3])]
-    counts = materialize(good.groupBy("stratum").agg(F.count("*").alias("n"), *sums), "rule-counts")
-    level, risk = delta / (max(1, counts.count()) * len(RULES)), alpha / len(RULES)
+    passed = stats.join(labels, "id").where(~base_failed()).select("stratum", (F.col("quality") == 1).cast("long").alias("good"), _first_steps().alias("steps"))
+    steps = passed.select("stratum", "good", F.posexplode("steps").alias("chain", "step"))
+    counts = steps.groupBy("stratum", "chain", "step").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+    found = F.sort_array(F.collect_list(F.struct("chain", "step", "good", "bad"))).alias("found")
+    counts = materialize(counts.groupBy("stratum").agg(found, F.sum("good").alias("n")).where("n > 0").drop("n"), "rule-counts")
+    level = delta / (max(1, counts.count()) * len(RULES))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch[["stratum"]].copy()
-            for r, x in RULES.items():
-                out[f"cut_{r}"] = pd.Series([certified(int(b["n"]), [int(b[f"{r}_{i}"]) for i in range(len(x[3]))], x[3], risk, level)
-                                             for b in batch.to_dict("records")], dtype="float64", index=out.index)
+            cuts = [chosen([tuple(x[c] for c in ("chain", "step", "good", "bad")) for x in found], alpha, level) for found in batch["found"]]
+            for r in RULES:
+                out[f"cut_{r}"] = pd.Series([c.get(r) for c in cuts], dtype="float64", index=out.index)
             yield out
 
     schema = T.StructType([counts.schema["stratum"], *(T.StructField(f"cut_{r}", T.DoubleType()) for r in RULES)])

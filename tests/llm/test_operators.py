@@ -78,6 +78,29 @@ def test_rules_are_certified(spark):
     assert got.where("not kept").count() == 400 == got.where("array_contains(rules_broken, 'symbols')").count()
 
 
+def test_rules_are_certified_jointly(spark):
+    row = lambda i, lang, symbols=0, repeats=0: (i, lang, 100, 600, symbols, 0, repeats, 1, 0)
+    # In a, 306 good documents reject nothing; bad ones have symbols.  In b, one more good document is rejected from the third rung of repeats on.
+    # In c, 305 labels are too few for four strata.  In d, repeats would reject many good documents, but symbols none.
+    rows = [row(i, "a") for i in range(306)] + [row(1000 + i, "b", 0, 17 if i == 0 else 0) for i in range(306)] + [row(2000 + i, "c") for i in range(305)]
+    rows += [row(3000 + i, "d", 0, 20 if i % 20 == 0 else 0) for i in range(400)]
+    bad = [row(5000 + k, lang, 80) for k, lang in enumerate("abcd")]
+    stats = spark.createDataFrame(rows + bad, "id long, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long")
+    labels = spark.createDataFrame([(r[0], 1) for r in rows] + [(r[0], 0) for r in bad], "id long, quality int")
+    cuts = quality_rules.calibrate(stats, labels)
+    got = {r.stratum: (r.cut_symbols, r.cut_repeats, r.cut_caps) for r in cuts.collect()}
+    assert got == {"a": (0.05, 0.06, 0.2), "b": (0.05, 0.18, 0.2), "c": (None, None, None), "d": (0.05, 0.2, 0.2)}
+    judged = quality_rules.judge(stats, cuts).where("not kept")
+    assert sorted(r.id for r in judged.select("id").collect()) == [5000, 5001, 5003]
+    # The first step that rejects a document, against the cutoffs of every step.
+    first = {r.id: r.steps for r in stats.where("id in (1000, 3000, 3001, 5000)").select("id", quality_rules._first_steps().alias("steps")).collect()}
+    for i, symbols, repeats in ((1000, 0, 0.17), (3000, 0, 0.2), (3001, 0, 0), (5000, 80 / 600, 0)):
+        for chain in range(6):
+            cuts = [quality_rules.cutoffs_of(chain, step) for step in range(quality_rules.STEPS)]
+            rejects = [symbols > c.get("symbols", 1) or repeats > c.get("repeats", 1) for c in cuts]
+            assert first[i][chain] == (rejects.index(True) if True in rejects else quality_rules.STEPS)
+
+
 def test_exact_dedup(docs):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
     groups = collections.defaultdict(list)
