@@ -11,16 +11,18 @@ borders of partitions are scanned once more, together.
 Candidates are neighbours in such an order.  A region is a run of rows with a common prefix; its
 depth grows from ``MIN_DEPTH`` until it has at most ``REGION`` rows, and all its pairs
 are candidates; a region that is denser at full depth gives each row the
-next one, its longest-common-prefix neighbour, and comes back at the end (below).  Rows carry two bits of each
+next one, its longest-common-prefix neighbour.  A run that is denser than ``REGION`` at depth ``SURE``
+is crowded: deeper regions may part its similar rows, so it comes back at the end (below).  Rows carry two bits of each
 minimum; candidates below ``SKETCH_MATCHES`` of 128 equal fields are left out (a pair of similarity 0.8 is
 left out with probability 3e-5, one of 0.9 never in practice).
 
 Links are confirmed on the full sets, rebuilt from the texts: first the best
 candidate of each document, then, of the other candidates, all whose ends are
-not yet connected.  Of the regions denser at full depth, the rows that are then not
-connected with the region's main component are candidates with all rows of the
-region that they are not connected with.  Connected components end it.  A pair at similarity 0.8
-misses all 32 orders with probability below 1e-5 at depth five.
+not yet connected.  Of the crowded runs, the rows that are then not
+connected with the run's main component are candidates with all rows of the
+run that they are not connected with.  Connected components end it.  A pair at similarity 0.8
+misses all 32 orders with probability below 1e-5 at depth ``SURE``, five; one that shares so long a
+prefix is either in a region or in a crowded run, however crowded its neighbourhood is.
 
 Cases: null text, or text without words, has an empty set and is linked with
 nothing; with fewer words than a shingle the whole sequence is one.  Rows that repeat an id are
@@ -45,6 +47,7 @@ WIDTH = 5
 PERCENT = 80
 HASHES, TREES, DEPTH = 128, 32, 16
 MIN_DEPTH, REGION = 2, 64
+SURE = 5
 SKETCH_MATCHES = 92
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(4)
@@ -149,7 +152,7 @@ def sign(docs: DataFrame, width: int = WIDTH, *, id_col: str = "doc_id", text_co
 
 
 def neighbours(tree: np.ndarray, keys: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, matches) of the candidates among sorted rows, and the rows of regions that are too dense at full depth."""
+    """(i, j, matches) of the candidates among sorted rows, and the rows of crowded runs."""
     n = len(tree)
     none = np.empty(0, np.int64)
     if n < 2:
@@ -170,14 +173,14 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, sketch: np.ndarray) -> tuple[
     i, j = np.concatenate(found_i), np.concatenate(found_j)
     m = matches(sketch[i], sketch[j])
     near = m >= SKETCH_MATCHES
-    return i[near], j[near], m[near], np.flatnonzero(depth > DEPTH)
+    return i[near], j[near], m[near], np.flatnonzero(depth > min(SURE, DEPTH))
 
 
 _PAIRS = "a bigint, b bigint, matches int, tree int, key binary, sketch binary, id bigint"
 
 
 def _scan(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
-    """Candidates of sorted (tree, key, sketch, id), and rows without a and b: those of dense regions (matches 0) and, with edges, the first and last."""
+    """Candidates of sorted (tree, key, sketch, id), and rows without a and b: those of crowded runs (matches 0) and, with edges, the first and last."""
     held, first = None, True
 
     def alone(rows: tuple, mark: int | None = None) -> pa.RecordBatch:
@@ -211,7 +214,7 @@ def _scan(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordB
 
 
 def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of signed(id, sig, sketch): distinct candidate pairs (a, b, matches), a < b, and the rows (tree, key, sketch, id) of dense regions."""
+    """Of signed(id, sig, sketch): distinct candidate pairs (a, b, matches), a < b, and the rows (tree, key, sketch, id) of crowded runs."""
     key = F.expr(f"substring(sig, tree * {2 * HASHES // TREES} + 1, {2 * DEPTH})")
     rows = signed.select("id", "sketch", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select("tree", key.alias("key"), "sketch", "id")
     order = ["tree", "key", "id"]
@@ -219,15 +222,15 @@ def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     borders = found.where("a is null and matches is null").select("tree", "key", "sketch", "id").distinct().coalesce(1).sortWithinPartitions(*order)
     crossing = materialize(borders.mapInArrow(lambda b: _scan(b, False), _PAIRS), "forest-crossing")
     both = found.union(crossing)
-    return both.where("a <> b").select("a", "b", "matches").distinct(), both.where("a is null and matches = 0").select("tree", "key", "sketch", "id").distinct()
+    return both.where("a <> b").select("a", "b", "matches").distinct(), both.where("a is null and matches = 0").select("tree", F.substring("key", 1, 2 * SURE).alias("key"), "sketch", "id").distinct()
 
 
 def across(dense: DataFrame, joined: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of rows of one dense region that joined(node, component) leaves apart.
+    """Distinct pairs (a, b) of rows of one crowded run that joined(node, component) leaves apart.
 
-    Each row outside its region's main component meets the rows that it is not
-    connected with; a region of one component, the usual case, gives none.  The
-    join's sides are regions, and adaptive execution splits a large one.
+    Each row outside its run's main component meets the rows that it is not
+    connected with; a run of one component, the usual case, gives none.  The
+    join's sides are runs, and adaptive execution splits a large one.
     """
     of = joined.select(F.col("node").alias("id"), F.col("component").alias("of"))
     rows = dense.join(of, "id", "left").withColumn("of", F.coalesce("of", "id"))

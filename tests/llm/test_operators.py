@@ -199,6 +199,17 @@ def test_dense_regions(monkeypatch):
     assert dense.tolist() == [0, 1, 2, 3, 4] and {(0, 1), (1, 2), (2, 3), (3, 4)} <= pairs and (0, 2) not in pairs and set(m.tolist()) == {minhash.HASHES}
 
 
+def test_crowded_runs(monkeypatch):
+    """Rows that deeper regions part, as their run is denser than REGION at depth SURE, are told too."""
+    monkeypatch.setattr(minhash, "REGION", 3)
+    monkeypatch.setattr(minhash, "DEPTH", 3)
+    monkeypatch.setattr(minhash, "SURE", 2, raising=False)
+    keys = np.array([[1, 1, 1]] * 3 + [[1, 1, 2]] * 3 + [[2, 1, 1]] * 2, ">u2")
+    i, j, _, dense = minhash.neighbours(np.zeros(8, np.int32), keys, np.zeros((8, 4), np.uint64))
+    pairs = set(zip(i.tolist(), j.tolist()))
+    assert (0, 2) in pairs and (0, 4) not in pairs and dense.tolist() == [0, 1, 2, 3, 4, 5]
+
+
 def test_across(spark):
     """Rows of a dense region meet those that they are not connected with, if their sketches agree."""
     sets = [np.arange(1000, 1200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(4)] + [np.arange(200, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)]
