@@ -31,6 +31,12 @@ def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     return tuple(df.where(F.col("n") == i) for i in range(3))
 
 
+def _both(spark: SparkSession, sf_dir: str, pairs: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """pairs(anchors, others) for each of the other sources."""
+    s1, s2, s3 = _sources(spark, sf_dir)
+    return pairs(s1, s2).unionByName(pairs(s1, s3))
+
+
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(projection.records(spark, sf_dir)).select("entity_id", "n", "country", "norm_name", "name_tokens")
 
@@ -168,23 +174,22 @@ def jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def string_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratio, token-sort, token-set and partial ratio of the names."""
-    pairs, s1, s2 = _token_pairs(spark, sf_dir)
     names = ("ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio")
     scores = kernel_udf(*names)
-    df = features.with_sides(pairs, s1.select("entity_id", "norm_name"), s2.select("entity_id", "norm_name"))
-    return df.withColumn("s", scores("l.norm_name", "r.norm_name")).select(*PAIR, *(F.round(f"s.{n}", 6).alias(n) for n in names))
+    side = lambda df: df.select("entity_id", "norm_name")
+    df = _both(spark, sf_dir, lambda a, b: features.with_sides(blocking.block(a, b, "token"), side(a), side(b)).select(*PAIR, "l.norm_name", F.col("r.norm_name").alias("other_name")))
+    return df.withColumn("s", scores("norm_name", "other_name")).select(*PAIR, *(F.round(f"s.{n}", 6).alias(n) for n in names))
 
 
 @query
 def quick_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, s1, s2 = _token_pairs(spark, sf_dir)
-    return features.quick_score(pairs, s1, s2).select(*PAIR, F.round("_q", 6).alias("quick_score"))
+    scored = _both(spark, sf_dir, lambda a, b: features.quick_score(blocking.block(a, b, "token"), a, b))
+    return scored.select(*PAIR, F.round("_q", 6).alias("quick_score"))
 
 
 @query
 def pair_features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, s1, s2 = _token_pairs(spark, sf_dir)
-    return features.pair_features(pairs, s1, s2)
+    return _both(spark, sf_dir, lambda a, b: features.pair_features(blocking.block(a, b, "token"), a, b))
 
 
 @query
@@ -225,8 +230,7 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def embedding_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined and name retrieval with the default hashed vectors."""
-    s1, s2, _ = _sources(spark, sf_dir)
-    return retrieval.embedding_candidates(s1, s2, top_k=5)
+    return _both(spark, sf_dir, lambda a, b: retrieval.embedding_candidates(a, b, top_k=5))
 
 
 @query
@@ -360,10 +364,12 @@ def referential_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def legacy_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pool of lexical and TF-IDF candidates, ranked by the cheap score."""
-    s1, s2, _ = _sources(spark, sf_dir)
-    pool = blocking.block(s1, s2, "token").union(retrieval.tfidf_candidates(s1, [s2], "norm_name")[0].select(*PAIR)).distinct()
-    return capping.cap_top(features.quick_score(pool, s1, s2), "_q", 10).select(*PAIR, F.round("_q", 6).alias("quick_score"))
+    """One pool of lexical and TF-IDF candidates for each other source, ranked by the cheap score."""
+    def capped(a: DataFrame, b: DataFrame) -> DataFrame:
+        pool = blocking.block(a, b, "token").union(retrieval.tfidf_candidates(a, [b], "norm_name")[0].select(*PAIR)).distinct()
+        return capping.cap_top(features.quick_score(pool, a, b), "_q", 10)
+
+    return _both(spark, sf_dir, capped).select(*PAIR, F.round("_q", 6).alias("quick_score"))
 
 
 def _quality(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

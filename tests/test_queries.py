@@ -48,6 +48,12 @@ def test_scores_lie_in_range(spark):
     assert full.columns[2:] == linkage.features.FEATURES and full.dropna().count() == full.count()
 
 
+@pytest.mark.parametrize("name", ["string_ratios", "quick_score", "pair_features_full", "embedding_candidates", "legacy_pool"])
+def test_both_other_sources_take_part(spark, name):
+    found = QUERIES[name](spark, SF).selectExpr("substr(other_entity_id, 1, 3) AS s").distinct().collect()
+    assert {r.s for r in found} == {"S2-", "S3-"}
+
+
 def test_linkage_end_to_end(spark, tmp_path):
     rows = projection.records(spark, SF)
     truth = projection.truth_of(rows)
