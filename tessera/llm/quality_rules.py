@@ -140,9 +140,13 @@ def _chain(start: int) -> list[str]:
 
 def _first_steps() -> Column:
     """For the chain of each rule, the first step that rejects the document, STEPS if none does."""
-    first = {r: sum((~_breaks(r, c)).cast("int") for c in x[3]) for r, x in RULES.items()}  # ladders only grow stricter
-    step = lambda k, r: F.when(first[r] < RUNGS, k * RUNGS + first[r])
-    return F.array(*(F.coalesce(*(step(k, r) for k, r in enumerate(_chain(c))), F.lit(STEPS)) for c in range(len(RULES))))
+    kept = lambda r: lambda c: ~_breaks(r, c)
+    # Ladders only grow stricter, so the rungs that do not reject come first.  Each part stands once in the plan, as the driver holds it.
+    first = F.array(*(F.size(F.filter(F.array(*map(F.lit, x[3])), kept(r))) for r, x in RULES.items()))
+    at = {r: i for i, r in enumerate(RULES)}
+    step = lambda f, k, r: F.when(f[at[r]] < RUNGS, k * RUNGS + f[at[r]])
+    chains = lambda f: F.array(*(F.coalesce(*(step(f, k, r) for k, r in enumerate(_chain(c))), F.lit(STEPS)) for c in range(len(RULES))))
+    return F.transform(F.array(first), chains)[0]
 
 
 def cutoffs_of(chain: int, step: int) -> dict[str, float]:
