@@ -388,7 +388,7 @@ def gbdt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gbdt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     labeled, _ = _quality(spark, sf_dir)
-    return model.importances(spark, model.train(labeled, rounds=8, depth=3)).limit(10)
+    return model.importances(spark, model.train(labeled, rounds=8, depth=3))
 
 
 @query

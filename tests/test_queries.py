@@ -54,6 +54,10 @@ def test_both_other_sources_take_part(spark, name):
     assert {r.s for r in found} == {"S2-", "S3-"}
 
 
+def test_all_importances_are_listed(spark):
+    assert QUERIES["gbdt_importances"](spark, SF).count() == len(linkage.features.FEATURES)
+
+
 def test_linkage_end_to_end(spark, tmp_path):
     rows = projection.records(spark, SF)
     truth = projection.truth_of(rows)
