@@ -2,24 +2,29 @@
 
 Scratch tables are written under the folder that the session names in
 ``spark.checkpoint.dir``; executors can be lost at any time, and a written
-table outlives them.  Where the setting is absent (tests, notebooks on one
-machine) a temporary folder takes its place.
+table outlives them.  Where the setting is absent, a temporary folder takes its
+place on a local master (tests, notebooks); on a cluster that is an error.
 """
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows that a broadcast side may have; more than that goes by a shuffle join.
 BROADCAST_ROWS = 1_000_000
+#: Bytes that it may have.
+BROADCAST_BYTES = 128 << 20
 
 #: Java form of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -51,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
     return _own_dir[0]
@@ -68,25 +75,44 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df once and returns the written table: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def drop_tables(*tables: DataFrame) -> None:
+    """Deletes tables of materialize() that nothing reads any more, and lets Spark's cleaner see which shuffles are no longer needed."""
+    for t in tables:
+        spark, path = t.sparkSession, _written.pop(t)
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count shows that it has at most ``rows`` rows; df itself otherwise.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if at most ``rows`` rows and ``size`` bytes are found; df itself otherwise.
 
-    df should be a written table, as it is counted here.
+    df should be a written table, as it is counted and measured here: strings, binaries and arrays by their length, other values as 8 bytes.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    def width(name: str, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+        if isinstance(kind, T.ArrayType):
+            return 8 + F.greatest(F.size(name), F.lit(0)) * (32 if isinstance(kind.elementType, T.StructType) else 16)
+        return F.lit(8 if not isinstance(kind, T.StructType) else 32)
+
+    each = sum((width(f.name, f.dataType) for f in df.schema.fields), F.lit(16))
+    found = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(each.cast("long")), F.lit(0)).alias("w")).first()
+    return F.broadcast(df) if found.n <= rows and found.w <= size else df
 
 
 def key_part(c: Column) -> Column:
@@ -100,12 +126,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Alternates large-star and small-star steps.  Each step takes the least
     neighbour by a pre-aggregated min and joins it back, so a hub with any
     number of edges costs no more than its edges; a skewed join side is split
-    by adaptive execution.  Ends when a round changes nothing.  Nulls and loops
+    by adaptive execution.  Ends when the edges are stars.  Nulls and loops
     are ignored.
     """
-    edges = materialize(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    before = None
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = materialize(pairs, name)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -115,11 +140,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct())
         edges = materialize(small_star, name)
-        # The edges form a star forest, and the labels are final, once a round leaves count and sums as they were.
-        state = edges.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")),
-                          F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        # Stars keep what is connected together, so the labels are final once each node has one edge and no root has any.
+        ends = edges.select("u", F.lit(0).alias("root")).union(edges.select(F.col("v").alias("u"), F.lit(1).alias("root")).distinct())
+        if not ends.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
             break
-        before = state
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -6,21 +6,27 @@ minima is read in 32 rotated orders.  Each order is a sorted list over all
 documents: rows are range-partitioned by (tree, signature prefix, id), so any
 region, however many documents share it, is spread over as many tasks as its size asks for, and a
 task streams through its rows with the last few of them in memory.  Rows at the
-borders of partitions are scanned once more, together.
+borders of partitions are scanned once more, each border by itself.
 
 Candidates are neighbours in such an order.  A region is a run of rows with a common prefix; its
 depth grows from ``MIN_DEPTH`` until it has at most ``REGION`` rows, and all its pairs
-are candidates; a region that is denser at full depth gives each row the
-next one, its longest-common-prefix neighbour.  A run that is denser than ``REGION`` at depth ``SURE``
-is crowded: deeper regions may part its similar rows, so it comes back at the end (below).  Rows carry two bits of each
+are candidates, as is each row with the next one, its longest-common-prefix neighbour.  Rows carry two bits of each
 minimum; candidates below ``SKETCH_MATCHES`` of 128 equal fields are left out (a pair of similarity 0.8 is
 left out with probability 3e-5, one of 0.9 never in practice).
 
-Links are confirmed on the full sets, rebuilt from the texts: first the best
-candidate of each document, then, of the other candidates, all whose ends are
-not yet connected.  Of the crowded runs, the rows that are then not
-connected with the run's main component are candidates with all rows of the
-run that they are not connected with.  Connected components end it.  A pair at similarity 0.8
+Components are wanted, not pairs, so pairs are made in rounds.  A scan gives each row its best few
+partners in each order; each row's best is confirmed on the full sets, rebuilt from the texts, then
+those of the others that are not yet connected.  Rows that have more candidates are scanned
+again, with their components beside them: partners in their own component no longer count, and
+more partners are given, in the last round all.  So a row in a family that is
+connected at once never gives more than its best, and no candidate is left untested.
+
+A run that is denser than ``REGION`` at depth ``SURE`` is crowded: deeper regions may part its similar
+rows.  Crowded runs that share rows form a cluster.  In a cluster of one component, the
+usual case, nothing is left to do.  In others the rows outside the main component are
+compared with all rows of the cluster on the full sets, in blocks of bounded size: one side's
+inverted index in memory, the other side streamed past it.  That work is (rows outside) x (rows of the cluster) over blocks,
+and only links leave it.  A pair at similarity 0.8
 misses all 32 orders with probability below 1e-5 at depth ``SURE``, five; one that shares so long a
 prefix is either in a region or in a crowded run, however crowded its neighbourhood is.
 
@@ -34,20 +40,30 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, claim, components, materialize, release, small
+from tessera.llm.common import BROADCAST_ROWS, bound_batches, claim, components, drop_tables, materialize, release, small
 
 WIDTH = 5
 PERCENT = 80
 HASHES, TREES, DEPTH = 128, 32, 16
 MIN_DEPTH, REGION = 2, 64
 SURE = 5
+#: Partners that a row gives in each order, round by round; None: all.
+PARTNERS: tuple[int | None, ...] = (4, 32, None)
+#: Times that rows of the first round give their best partner in another component before the others are looked at.
+BEST_ROUNDS = 3
+#: Rows of a range partition, of a chunk that a task looks at together, and shingles of a block of sets.
+PART_ROWS, CHUNK_ROWS, BLOCK = 50_000, 8_192, 1 << 18
+#: A key: the tree, the high bytes of the first MIN_DEPTH minima, then the low bytes of DEPTH minima.
+KEY = 1 + MIN_DEPTH + DEPTH
 SKETCH_MATCHES = 92
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(4)
@@ -117,16 +133,16 @@ def matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     def flush(ids: list, sets: list) -> pa.RecordBatch:
         full = [i for i, s in enumerate(sets) if len(s)]
-        sig, key, sketch = [None] * len(sets), [None] * len(sets), [None] * len(sets)
+        lows, highs, key, sketch = ([None] * len(sets) for _ in range(4))
         if full:
             made = signatures([sets[i] for i in full])
-            bits, low = sketches(made), made.astype(">u2")  # the low half of a minimum tells it from others
+            bits, low, high = sketches(made), (made & np.uint32(255)).astype(np.uint8), (made >> np.uint32(8) & np.uint32(255)).astype(np.uint8)
             for row, i in enumerate(full):
-                sig[i] = low[row].tobytes() + low[row, :DEPTH].tobytes()  # wraps round
+                lows[i], highs[i] = low[row].tobytes() + low[row, :DEPTH].tobytes(), high[row].tobytes() + high[row, :MIN_DEPTH].tobytes()  # wrap round
                 key[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 sketch[i] = bits[row].tobytes()
         n = pa.array([len(s) for s in sets], pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), n, *(pa.array(x, pa.binary()) for x in (key, sig, sketch))], names=["id", "n_shingles", "set_key", "sig", "sketch"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), n, *(pa.array(x, pa.binary()) for x in (key, lows, highs, sketch))], names=["id", "n_shingles", "set_key", "low", "high", "sketch"])
 
     claim("minhash", _words.clear)
     for batch in batches:
@@ -145,115 +161,149 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 
 
 def sign(docs: DataFrame, width: int = WIDTH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, set_key, sig, sketch (the last three null for an empty set)."""
+    """Per row: id, n_shingles, set_key, low and high bytes of the minima, sketch (the last four null for an empty set)."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lambda b: _signed(b, width), "id bigint, n_shingles bigint, set_key binary, sig binary, sketch binary")
+    return rows.mapInArrow(lambda b: _signed(b, width), "id bigint, n_shingles bigint, set_key binary, low binary, high binary, sketch binary")
 
 
-def neighbours(tree: np.ndarray, keys: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, matches) of the candidates among sorted rows, and the rows of crowded runs."""
-    n = len(tree)
+def neighbours(keys: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, matches, inside) of the candidates among sorted rows, inside telling pairs of one crowded run, and the rows of crowded runs."""
+    n = len(keys)
     none = np.empty(0, np.int64)
     if n < 2:
-        return none, none, none, none
-    same = np.cumprod(keys[1:] == keys[:-1], axis=1, dtype=np.int8).sum(axis=1) * (tree[1:] == tree[:-1])  # LCP with the next row
+        return none, none, none, none.astype(bool), none
+    same = np.cumprod(keys[1:] == keys[:-1], axis=1, dtype=np.int8).sum(axis=1, dtype=np.int64) - (KEY - DEPTH)  # depth shared with the next row
     # The depth of each row's region: the least at which its run has at most REGION rows, DEPTH + 1 if none.
     depth = np.full(n, DEPTH + 1)
     for d in range(DEPTH, MIN_DEPTH - 1, -1):
         edge = np.flatnonzero(np.concatenate(([True], same < d)))
         length = np.diff(np.append(edge, n))
         depth[np.repeat(length, length) <= REGION] = d
-    found_i, found_j, lcp = [], [], np.full(n, DEPTH)
+    crowded = depth > min(SURE, DEPTH)
+    found_i, found_j, inside, lcp = [], [], [], np.full(n, DEPTH)
     for s in range(1, min(REGION, n)):
         lcp = np.minimum(lcp[: n - s], same[s - 1 :])  # of rows i and i + s
         need = depth[: n - s] if s > 1 else np.minimum(depth[: n - 1], MIN_DEPTH)
         i = np.flatnonzero(lcp >= need)
-        found_i.append(i), found_j.append(i + s)
-    i, j = np.concatenate(found_i), np.concatenate(found_j)
+        found_i.append(i), found_j.append(i + s), inside.append(crowded[i] & (lcp[i] >= SURE))
+    i, j, inside = np.concatenate(found_i), np.concatenate(found_j), np.concatenate(inside)
     m = matches(sketch[i], sketch[j])
     near = m >= SKETCH_MATCHES
-    return i[near], j[near], m[near], np.flatnonzero(depth > min(SURE, DEPTH))
+    return i[near], j[near], m[near], inside[near], np.flatnonzero(crowded)
 
 
-_PAIRS = "a bigint, b bigint, matches int, tree int, key binary, sketch binary, id bigint"
+def partners(i: np.ndarray, j: np.ndarray, m: np.ndarray, inside: np.ndarray, ids: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(id, partner, matches) of each row's best ``most`` partners, one of them at most inside a crowded run; and the ids that have more."""
+    row, other = np.concatenate((i, j)), np.concatenate((j, i))
+    m, inside = np.concatenate((m, m)), np.concatenate((inside, inside))
+    order = np.lexsort((ids[other], -m, row))
+    row, other, m, inside = row[order], other[order], m[order], inside[order]
+    begin = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.empty(0, np.int64)
+    rank = np.arange(len(row)) - np.repeat(begin, np.diff(np.append(begin, len(row))))
+    given = (rank == 0) | ~inside & (rank < (len(row) if most is None else most))
+    return ids[row[given]], ids[other[given]], m[given], np.unique(ids[row[~given & ~inside]])
 
 
-def _scan(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
-    """Candidates of sorted (tree, key, sketch, id), and rows without a and b: those of crowded runs (matches 0) and, with edges, the first and last."""
-    held, first = None, True
+#: What a scan gives: pairs (id, other, matches), ids with more partners, rows of crowded runs (key, id), and rows at the border after partition ``border``.
+_PAIR, _MORE, _CROWDED, _BORDER = range(4)
+_FOUND = "kind int, id bigint, other bigint, matches int, key binary, sketch binary, of bigint, cluster bigint, border int"
 
-    def alone(rows: tuple, mark: int | None = None) -> pa.RecordBatch:
-        tree, keys, sketch, ids = rows
-        none = [pa.nulls(len(ids), pa.int64())] * 2 + [pa.array([mark] * len(ids), pa.int32())]
-        return pa.RecordBatch.from_arrays([*none, pa.array(tree, pa.int32()), pa.array([k.tobytes() for k in keys], pa.binary()),
-                                           pa.array([s.tobytes() for s in sketch], pa.binary()), pa.array(ids, pa.int64())], names=names)
 
-    names = [x.split()[0] for x in _PAIRS.split(", ")]
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(key, sketch, id, of, cluster, border) of CHUNK_ROWS rows or more at a time; a null cluster is -1."""
+    def arrays(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+        t = pa.Table.from_batches(parts)
+        fixed = lambda c, kind, w: np.frombuffer(b"".join(t[c].to_pylist()), kind).reshape(len(t), w)
+        number = lambda c, none: t[c].fill_null(none).to_numpy()
+        return fixed("key", np.uint8, KEY), fixed("sketch", "<u8", 4), number("id", 0), number("of", 0), number("cluster", -1), number("border", -1)
+
+    held, size = [], 0
     for batch in batches:
-        n = len(batch)
-        if not n:
-            continue
-        fixed = lambda c, kind, w: np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).reshape(n, w)
-        rows = (batch.column("tree").to_numpy(zero_copy_only=False), fixed("key", ">u2", DEPTH), fixed("sketch", "<u8", 4), batch.column("id").to_numpy(zero_copy_only=False))
+        if len(batch):
+            held.append(batch)
+            size += len(batch)
+        if size >= CHUNK_ROWS:
+            yield arrays(held)
+            held, size = [], 0
+    if held:
+        yield arrays(held)
+
+
+def _scan(batches: Iterator[pa.RecordBatch], most: int | None, edges: bool) -> Iterator[pa.RecordBatch]:
+    """Reads rows sorted by (border, key, id); with edges, also gives the rows at both ends of the partition."""
+    names = [x.split()[0] for x in _FOUND.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+
+    def out(kind: int, n: int, **columns: object) -> pa.RecordBatch:
+        made = {k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()}
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind), pa.int32()), *(made[c].cast(k) if c in made else pa.nulls(n, k) for c, k in zip(names[1:], kinds[1:], strict=True))], names=names)
+
+    def rows_of(rows: tuple[np.ndarray, ...], border: int) -> pa.RecordBatch:
+        key, sketch, ids, of, cluster = rows[:5]
+        raw = lambda x: pa.array([r.tobytes() for r in x], pa.binary())
+        return out(_BORDER, len(ids), id=ids, key=raw(key), sketch=raw(sketch), of=of, cluster=pa.array(cluster, mask=cluster < 0), border=np.full(len(ids), border))
+
+    def found(rows: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        key, sketch, ids, of, cluster = rows[:5]
+        i, j, m, inside, crowded = neighbours(key, sketch)
+        apart = (of[i] != of[j]) & ((cluster[i] != cluster[j]) | (cluster[i] < 0)) & (ids[i] != ids[j])
+        a, b, m, more = partners(i[apart], j[apart], m[apart], inside[apart], ids, most)
+        if len(a):
+            yield out(_PAIR, len(a), id=a, other=b, matches=m)
+        if len(more):
+            yield out(_MORE, len(more), id=more)
+        if len(crowded):
+            yield out(_CROWDED, len(crowded), id=ids[crowded], key=pa.array([k.tobytes() for k in key[crowded, : KEY - DEPTH + SURE]], pa.binary()))
+
+    here, held, first = TaskContext.get().partitionId(), None, True
+    for chunk in _chunks(batches):
         if edges and first:
-            yield alone(tuple(x[:REGION] for x in rows))
+            yield rows_of(tuple(x[:REGION] for x in chunk), here - 1)
         first = False
-        rows = rows if held is None else tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
-        i, j, m, dense = neighbours(*rows[:3])
-        ids = rows[3]
-        a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-        if len(a):
-            empty = [pa.nulls(len(a), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m, pa.int32()), *empty], names=names)
-        if len(dense):
-            yield alone(tuple(x[dense] for x in rows), 0)
-        held = tuple(x[-REGION:] for x in rows)
+        # A border's rows stand by themselves; without borders all rows are one list.
+        cuts = [0, *(np.flatnonzero(np.diff(chunk[5])) + 1).tolist(), len(chunk[2])]
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = tuple(x[begin:end] for x in chunk)
+            if held is not None and held[5][-1] == rows[5][0]:
+                rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+            yield from found(rows)
+            held = tuple(x[-REGION:] for x in rows)
     if edges and held is not None:
-        yield alone(held)
-
-
-def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of signed(id, sig, sketch): distinct candidate pairs (a, b, matches), a < b, and the rows (tree, key, sketch, id) of crowded runs."""
-    key = F.expr(f"substring(sig, tree * {2 * HASHES // TREES} + 1, {2 * DEPTH})")
-    rows = signed.select("id", "sketch", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select("tree", key.alias("key"), "sketch", "id")
-    order = ["tree", "key", "id"]
-    found = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(lambda b: _scan(b, True), _PAIRS), "forest-scan")
-    borders = found.where("a is null and matches is null").select("tree", "key", "sketch", "id").distinct().coalesce(1).sortWithinPartitions(*order)
-    crossing = materialize(borders.mapInArrow(lambda b: _scan(b, False), _PAIRS), "forest-crossing")
-    both = found.union(crossing)
-    return both.where("a <> b").select("a", "b", "matches").distinct(), both.where("a is null and matches = 0").select("tree", F.substring("key", 1, 2 * SURE).alias("key"), "sketch", "id").distinct()
-
-
-def across(dense: DataFrame, joined: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of rows of one crowded run that joined(node, component) leaves apart.
-
-    Each row outside its run's main component meets the rows that it is not
-    connected with; a run of one component, the usual case, gives none.  The
-    join's sides are runs, and adaptive execution splits a large one.
-    """
-    of = joined.select(F.col("node").alias("id"), F.col("component").alias("of"))
-    rows = dense.join(of, "id", "left").withColumn("of", F.coalesce("of", "id"))
-    sizes = rows.groupBy("tree", "key", "of").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("tree", "key").agg(F.max_by("of", F.struct("n", "of")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    rows = materialize(rows.join(main.drop("parts"), ["tree", "key"]), "forest-dense")
-    x, y = rows.where("of <> main").alias("x"), rows.alias("y")
-    met = x.join(y, ["tree", "key"]).where("x.of <> y.of")
-    word = lambda side, i: F.conv(F.hex(F.substring(F.col(f"{side}.sketch"), 8 * i + 1, 8)), 16, -10).cast("long")
-    apart = [word("x", i).bitwiseXOR(word("y", i)) for i in range(4)]
-    equal = HASHES - sum(F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555))) for d in apart)
-    return met.where(equal >= SKETCH_MATCHES).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+        yield rows_of(held, here)
+
+
+def scan(rows: DataFrame, most: int | None) -> list[DataFrame]:
+    """Written tables of what the forest over rows(id, low, high, sketch, of, cluster) gives, by kind."""
+    at = F.col("tree") * (HASHES // TREES) + 1
+    trees = F.posexplode(F.array(*(F.lit(bytes([t])) for t in range(TREES)))).alias("tree", "name")
+    key = F.concat("name", F.substr("high", at, F.lit(MIN_DEPTH)), F.substr("low", at, F.lit(DEPTH)))
+    forest = rows.select("id", "sketch", "of", "cluster", "high", "low", trees).select(key.alias("key"), "sketch", "id", "of", "cluster", F.lit(-1).alias("border"))
+    parts = max(1, rows.count() * TREES // PART_ROWS)
+    found = materialize(forest.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id").mapInArrow(lambda b: _scan(b, most, True), _FOUND), "forest-scan")
+    if parts == 1:
+        return [found]
+    # The last rows of a partition and the first of the next one.  Should one have fewer rows than a region may have, all borders are one list.
+    sizes = found.where(F.col("kind") == _BORDER).groupBy("border").count()
+    few = parts > 1 and sizes.where(f"count < {2 * REGION} and border >= 0 and border < {parts - 1}").limit(1).count() > 0
+    ends = found.where((F.col("kind") == _BORDER) & (F.col("border") >= 0) & (F.col("border") < parts - 1 if not few else F.lit(True)))
+    if few:
+        ends = found.where(F.col("kind") == _BORDER).drop("border").distinct().withColumn("border", F.lit(0)).coalesce(1)
+    else:
+        ends = ends.repartition("border")
+    ends = ends.select("key", "sketch", "id", "of", "cluster", "border").sortWithinPartitions("border", "key", "id")
+    return [found, materialize(ends.mapInArrow(lambda b: _scan(b, most, False), _FOUND), "forest-crossing")]
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, width: int = WIDTH, percent: int = PERCENT, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of a written table pairs(a, b), the ones whose full sets are similar enough.
 
-    A text travels once for each of its pairs; texts without pairs do not
+    A text travels once for each of its pairs, which the rounds bound; texts without pairs do not
     travel while the table of pairs is small enough to broadcast.
     """
     bound_batches(docs.sparkSession)
     sides = pairs.select(F.explode(F.array("a", "b")).alias("id"), "a", "b")
-    sides = F.broadcast(sides) if pairs.count() <= 500_000 else sides
+    sides = F.broadcast(sides) if pairs.count() <= BROADCAST_ROWS // 4 else sides
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     met = texts.join(sides, "id").select("a", "b", "id", "text").repartition("a", "b").sortWithinPartitions("a", "b", "id")
 
@@ -281,35 +331,166 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int = WIDTH, percent: int
     return met.mapInArrow(check, "a bigint, b bigint")
 
 
+def _clusters(crowded: DataFrame) -> DataFrame:
+    """crowded(key, id) to (id, cluster): runs that share rows are one cluster."""
+    first = crowded.groupBy("key").agg(F.min("id").alias("first"))
+    return components(crowded.join(first, "key").select(F.col("id").alias("a"), F.col("first").alias("b"))).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between rows of side 0 and rows of side 1 of each block, sorted by (block, side, id); one for each row of side 0 and component."""
+    block, ids, of, sets, index, seen = None, [], [], [], None, set()
+    for batch in batches:
+        out = []
+        names = batch.select(["cluster", "x", "y", "side", "id", "of"]).to_pylist()
+        for r, raw in zip(names, batch.column("set").cast(pa.large_binary()), strict=True):
+            own, now = np.frombuffer(raw.as_py(), "<u8"), (r["cluster"], r["x"], r["y"])
+            if now != block:
+                block, ids, of, sets, index, seen = now, [], [], [], None, set()
+            if not r["side"]:
+                ids.append(r["id"]), of.append(r["of"]), sets.append(own)
+                continue
+            if not sets:
+                continue
+            if index is None:
+                tokens, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+                order = np.argsort(tokens, kind="stable")
+                index = tokens[order], np.repeat(np.arange(len(sets)), sizes)[order], sizes
+                sets = [()]
+            tokens, owner, sizes = index
+            begin, end = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+            hit = end > begin
+            begin, width = begin[hit], (end - begin)[hit]
+            at = np.repeat(begin - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum()) if hit.any() else np.empty(0, np.int64)
+            both = np.bincount(owner[at], minlength=len(sizes))
+            for k in np.flatnonzero((both > 0) & (100 * both >= percent * (sizes + len(own) - both))).tolist():
+                if of[k] != r["of"] and (ids[k], r["of"]) not in seen:
+                    seen.add((ids[k], r["of"]))
+                    out.append((ids[k], r["id"]))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    release()
+
+
+def settle(docs: DataFrame, clusters: DataFrame, joined: DataFrame, width: int = WIDTH, percent: int = PERCENT, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame | None:
+    """Links (a, b) of clusters(id, cluster) that joined(node, component) leaves apart, None if every cluster is in one component.
+
+    Rows outside the main component of a cluster meet all its rows, in blocks
+    of about BLOCK shingles on each side.
+    """
+    bound_batches(docs.sparkSession)
+    rows = clusters.join(joined.select(F.col("node").alias("id"), F.col("component").alias("of")), "id", "left").withColumn("of", F.coalesce("of", "id"))
+    sizes = rows.groupBy("cluster", "of").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("cluster").agg(F.max_by("of", F.struct("n", "of")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cluster", "main")
+    rows = materialize(rows.join(main, "cluster").withColumn("out", F.col("of") != F.col("main")).drop("main"), "forest-contested")
+    if not rows.limit(1).count():
+        drop_tables(rows)
+        return None
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("minhash", _words.clear)
+        for batch in batches:
+            made = [shingles(t.as_py() or b"", width).astype("<u8").tobytes() for t in batch.column("text").cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.large_binary()).cast(pa.binary())], names=["id", "set"])
+        _words.clear()
+        release()
+
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(small(rows.select("id")), "id", "left_semi")
+    full = materialize(rows.join(texts.mapInArrow(sets, "id bigint, set binary"), "id"), "forest-sets")
+    amount = F.octet_length("set").cast("long")
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(c / (8 * BLOCK))).cast("int")
+    grid = full.groupBy("cluster").agg(blocks(F.coalesce(F.sum(F.when(F.col("out"), amount)), F.lit(0))).alias("xs"), blocks(F.sum(amount)).alias("ys"))
+    dealt = full.join(grid, "cluster")
+    number = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outer = dealt.where("out").select("cluster", number("xs").alias("x"), every("ys").alias("y"), F.lit(0).alias("side"), "id", "of", "set")
+    inner = dealt.select("cluster", every("xs").alias("x"), number("ys").alias("y"), F.lit(1).alias("side"), "id", "of", "set")
+    met = outer.unionByName(inner).repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "side", "id")
+    links = materialize(met.mapInArrow(lambda b: _compare(b, percent), "a bigint, b bigint"), "forest-settled")
+    drop_tables(rows, full)
+    return links
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id of its near-duplicates), kept (it is that one)."""
     names = {"id_col": id_col, "text_col": text_col}
     signed = materialize(sign(docs, width, **names), "forest-signed")
-    sets = signed.where("set_key is not null and id is not null")
-    classes = materialize(sets.groupBy("set_key").agg(F.min("id").alias("rep"), F.min_by("sig", "id").alias("sig"), F.min_by("sketch", "id").alias("sketch")), "forest-classes")
-    pairs, dense = candidates(classes.select(F.col("rep").alias("id"), "sig", "sketch"))
-    pairs = materialize(pairs, "forest-pairs")
-    best = pairs.groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
-    best = materialize(best, "forest-best")
-    first = materialize(confirm(docs, best, width, percent, **names), "forest-links")
-    joined = components(first)
-    ends = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-    rest = (pairs.join(best, ["a", "b"], "left_anti").join(ends("a"), "a", "left").join(ends("b"), "b", "left")
-            .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
-    second = confirm(docs, materialize(rest, "forest-rest"), width, percent, **names)
-    joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
-    apart = materialize(across(dense, joined).join(pairs, ["a", "b"], "left_anti"), "forest-apart")
-    if apart.limit(1).count():
-        third = confirm(docs, apart, width, percent, **names)
-        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(third))
+    rows = materialize(signed.select("id", "n_shingles", "set_key"), "forest-rows")
+    least = F.min_by(F.struct("low", "high", "sketch"), "id").alias("s")
+    reps = signed.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep"), least)
+    classes = materialize(reps.select("set_key", "rep", "s.*"), "forest-classes")
+    drop_tables(signed)
+
+    joined, tested, clusters, active = None, [], None, classes.withColumnRenamed("rep", "id")
+    for most in PARTNERS:
+        parts = scan(_labelled(active, joined, clusters), most)
+        found = reduce(DataFrame.union, parts)
+        pairs = found.where(F.col("kind") == _PAIR).select("id", "other", "matches")
+        if joined is None:
+            # Each row's best partner; then, as long as rows give links, the best in another component.
+            for _ in range(BEST_ROUNDS):
+                open_pairs = pairs if joined is None else _untested(pairs, joined, None, tested)
+                best = open_pairs.groupBy("id").agg(F.max(F.struct("matches", (-F.col("other")).alias("other"))).alias("m")).select("id", (-F.col("m.other")).alias("other"))
+                best = materialize(best.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "forest-best")
+                tested.append(best)
+                links = materialize(confirm(docs, best, width, percent, **names), "forest-links")
+                joined = components(links) if joined is None else _extended(joined, links)
+                if not links.limit(1).count():
+                    break
+            crowded = found.where(F.col("kind") == _CROWDED).select("key", "id").distinct()
+            if crowded.limit(1).count():
+                clusters = _clusters(crowded)
+                links = settle(docs, clusters, joined, width, percent, **names)
+                joined = joined if links is None else _extended(joined, links)
+        rest = _untested(pairs, joined, clusters, tested).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        rest = materialize(rest, "forest-rest")
+        tested.append(rest)
+        if rest.limit(1).count():
+            joined = _extended(joined, confirm(docs, rest, width, percent, **names))
+        if most is None:
+            break
+        more = found.where(F.col("kind") == _MORE).select("id").distinct()
+        active = materialize(active.join(more, "id", "left_semi").select("id", "low", "high", "sketch"), "forest-more")
+        drop_tables(*parts)
+        if not active.limit(1).count():
+            break
     # Equal ids with several texts put several sets under one node.
     final = joined.withColumnRenamed("node", "rep")
-    of_set = classes.select("set_key", "rep").join(final, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    return signed.select("id", "n_shingles", "set_key").join(of_set, "set_key", "left").select(
+    of_set = materialize(classes.select("set_key", "rep").join(final, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id")), "forest-sets-of")
+    drop_tables(classes, *tested)
+    return rows.join(of_set, "set_key", "left").select(
         "id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
+def _labelled(rows: DataFrame, joined: DataFrame | None, clusters: DataFrame | None) -> DataFrame:
+    """rows(id, low, high, sketch) with of, the row's component, and cluster; written if that takes a join."""
+    rows = rows.select("id", "low", "high", "sketch")
+    if joined is None:
+        return rows.withColumns({"of": F.col("id"), "cluster": F.lit(None).cast("long")})
+    rows = rows.join(joined.select(F.col("node").alias("id"), F.col("component").alias("of")), "id", "left").withColumn("of", F.coalesce("of", "id"))
+    rows = rows.join(clusters, "id", "left") if clusters is not None else rows.withColumn("cluster", F.lit(None).cast("long"))
+    return materialize(rows, "forest-active")
+
+
+def _untested(pairs: DataFrame, joined: DataFrame, clusters: DataFrame | None, tested: list[DataFrame]) -> DataFrame:
+    """pairs(id, other, matches) without those that are connected, of one cluster, or in a table of tested(a, b)."""
+    both = ("id", "other")
+    of = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    left = pairs.join(of("id"), "id", "left").join(of("other"), "other", "left").where(F.coalesce("of_id", "id") != F.coalesce("of_other", "other"))
+    if clusters is not None:
+        run = lambda side: clusters.select(F.col("id").alias(side), F.col("cluster").alias(f"run_{side}"))
+        left = left.join(run("id"), "id", "left").join(run("other"), "other", "left").where("run_id is null or run_other is null or run_id <> run_other")
+    left = left.select(*both, "matches", F.least(*both).alias("a"), F.greatest(*both).alias("b"))
+    for t in tested:
+        left = left.join(t, ["a", "b"], "left_anti")
+    return left.select(*both, "matches")
+
+
+def _extended(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """joined(node, component) after further links(a, b)."""
+    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b")))
+
+
 def filter_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay: one document of each group of near-duplicates."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
