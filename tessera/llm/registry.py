@@ -58,8 +58,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.assign(mixing.plan(_table(spark, sf_dir, "documents")))
-    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("draws")).cast("long").alias("taken"))
+    planned = mixing.plan(_table(spark, sf_dir, "documents"))
+    draws = F.array_join(F.transform("draws", lambda d: F.concat_ws(":", d["epoch"], d["shard"], d["place"])), ",")
+    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("draws")).cast("long").alias("taken"),
+                          draws.alias("draws"))
 
 
 #: One more conversation, of control strings.
