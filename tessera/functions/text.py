@@ -85,19 +85,44 @@ def token_overlap(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(F.lit(0.0))
 
 
-def gram_counts(grams: Column) -> Column:
-    """Array of (gram, count), by gram."""
-    return F.transform(F.array_sort(F.array_distinct(grams)), lambda g: F.struct(g.alias("g"), F.size(F.filter(grams, lambda x: x == g)).cast("double").alias("n")))
+def set_overlap(a: Column, b: Column) -> Column:
+    """token_overlap() of arrays without repeats: one pass over both."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(F.lit(0.0))
+
+
+def gram_vector(grams: Column) -> Column:
+    """What a text brings to its cosines: its distinct grams, those that repeat (n - 1 times each), and the norm of the counts.
+
+    Names and addresses repeat few grams, so products over the repeats are short.
+    """
+    def made(g: Column) -> Column:
+        ordered = F.array_sort(g)
+        return F.struct(F.array_distinct(g).alias("once"), F.filter(ordered, lambda x, i: (i > 0) & (x == F.get(ordered, i - 1))).alias("again"))
+
+    def normed(v: Column) -> Column:
+        return F.struct(v["once"].alias("once"), v["again"].alias("again"), F.sqrt((F.size(v["once"]) + 2 * F.size(v["again"]) + _matches(v["again"], v["again"])).cast("double")).alias("norm"))
+
+    # Inside transform() each part is evaluated once.
+    return F.transform(F.transform(F.array(grams), made), normed)[0]
+
+
+def _matches(a: Column, b: Column) -> Column:
+    """The number of pairs of equal elements, one from each array."""
+    return F.aggregate(a, F.lit(0), lambda n, x: n + F.size(F.filter(b, lambda y: y == x)))
 
 
 def gram_cosine(a: Column, b: Column) -> Column:
-    """Cosine of two gram_counts() arrays, 0 if either is empty."""
-    norm = lambda x: F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, e: s + e["n"] * e["n"]))
-    other = F.map_from_entries(b)
-    dot = F.aggregate(a, F.lit(0.0), lambda s, e: s + e["n"] * F.coalesce(F.try_element_at(other, e["g"]), F.lit(0.0)))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), dot / (norm(a) * norm(b))).otherwise(F.lit(0.0))
+    """Cosine of two gram_vector()s, 0 if either text has no grams.
+
+    With counts 1 + r the sum of products is the number of common grams, plus
+    the repeats of either side that the other side has, plus products of repeats.
+    """
+    inside = lambda many, once: F.size(F.filter(many, lambda x: F.array_contains(once, x)))
+    dot = F.size(F.array_intersect(a["once"], b["once"])) + inside(a["again"], b["once"]) + inside(b["again"], a["once"]) + _matches(a["again"], b["again"])
+    return F.when((F.size(a["once"]) > 0) & (F.size(b["once"]) > 0), dot / (a["norm"] * b["norm"])).otherwise(F.lit(0.0))
 
 
-def name_columns(name: Column) -> dict[str, Column]:
-    tokens = mapped_tokens(clean(name), NAME_TOKENS)
-    return {"name_tokens": tokens, "has_devanagari": has_devanagari(name)}
+def gram_codes(text: Column, n: int) -> Column:
+    """ngrams() of an ASCII text as whole numbers, a byte for each character (n up to 7)."""
+    return F.transform(ngrams(text, n), lambda g: F.conv(F.hex(g), 16, 10).cast("long"))

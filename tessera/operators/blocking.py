@@ -32,8 +32,8 @@ def keyed(df: DataFrame, kind: str) -> DataFrame:
 
 
 def block_stats(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(country, key, s1_count, other_count, est_pairs) of the blocks found on both sides."""
-    count = lambda df, name: df.groupBy("country", "key").agg(F.countDistinct("entity_id").alias(name))
+    """(country, key, s1_count, other_count, est_pairs) of the blocks found on both sides.  a, b: as from keyed(), each key of an entity once."""
+    count = lambda df, name: df.groupBy("country", "key").agg(F.count("*").alias(name))
     both = count(a, "s1_count").join(count(b, "other_count"), ["country", "key"])
     return both.withColumn("est_pairs", F.col("s1_count") * F.col("other_count"))
 
@@ -54,10 +54,10 @@ def _joined(a: DataFrame, b: DataFrame) -> DataFrame:
     return left.join(b.select("country", "key", F.col("entity_id").alias("other_entity_id")), ["country", "key"])
 
 
-def block(s1: DataFrame, other: DataFrame, kind: str, *, max_pairs: int = MAX_BLOCK_PAIRS, max_side: int = MAX_BLOCK_SIDE) -> DataFrame:
-    """Distinct pairs of one blocker: token, soundex (guarded), zip, city_first (unguarded)."""
+def block(s1: DataFrame, other: DataFrame, kind: str, *, max_pairs: int = MAX_BLOCK_PAIRS, max_side: int = MAX_BLOCK_SIDE, guard: bool | None = None) -> DataFrame:
+    """Distinct pairs of one blocker: token, soundex (guarded), zip, city_first (unguarded, unless guard says so: a key that many records share gives all their pairs)."""
     a, b = keyed(s1, kind), keyed(other, kind)
-    if kind in ("token", "soundex"):
+    if kind in ("token", "soundex") if guard is None else guard:
         a = a.join(block_stats(a, b).where(safe(max_pairs, max_side)).select("country", "key"), ["country", "key"], "left_semi")
     return _joined(a, b).select("source1_entity_id", "other_entity_id").distinct()
 

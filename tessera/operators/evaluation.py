@@ -49,10 +49,6 @@ def smart_sample(records: DataFrame, keep: DataFrame, cap: int, seed: int = SEED
     return must.unionByName(rest.orderBy(hashed(F.col("entity_id"), seed=seed), "entity_id").limit(room))
 
 
-def subsample(records: DataFrame, n: int, seed: int = SEED) -> DataFrame:
-    return records.orderBy(hashed(F.col("entity_id"), seed=seed), "entity_id").limit(n)
-
-
 def f05(tp: Column, predicted: Column, true: Column) -> Column:
     """F0.5 of one entity; 1 if nothing is predicted and nothing true, 0 if only one of them is empty."""
     p, r = tp / predicted, tp / true
@@ -145,6 +141,12 @@ def dataset_stats(s1: DataFrame, truth_lists: DataFrame) -> DataFrame:
     return rows.groupBy("country").agg(F.count("*").alias("entities"), F.sum((F.col("n") == 0).cast("long")).alias("singletons"), F.sum("n").alias("matches"))
 
 
+def matched_stats(truth: DataFrame) -> DataFrame:
+    """One row: the S1 entities that have matches, and their mean number of them (0 if none has)."""
+    n = truth.select(*PAIR).distinct().groupBy("source1_entity_id").agg(F.count("*").alias("n"))
+    return n.agg(F.count("*").alias("matched_entities"), F.coalesce(F.avg("n"), F.lit(0.0)).alias("avg_matches"))
+
+
 def label_distribution(labeled: DataFrame) -> DataFrame:
     return labeled.agg(F.count("*").alias("pairs"), F.coalesce(F.sum("label"), F.lit(0)).alias("positives"),
                        F.coalesce(F.sum(1 - F.col("label")), F.lit(0)).alias("negatives"))

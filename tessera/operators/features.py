@@ -21,8 +21,8 @@ def entity_side(df: DataFrame) -> DataFrame:
     """What an entity brings to each of its pairs, computed once per entity."""
     name, addr = F.col("norm_name"), F.col("norm_addr")
     return df.select("entity_id", "country", "norm_name", "norm_addr", "name_tokens", "zip", "state", "city", "house_no",
-                     text.gram_counts(text.ngrams(name, 3)).alias("g3"), text.gram_counts(text.ngrams(name, 4)).alias("g4"),
-                     text.gram_counts(text.ngrams(addr, 3)).alias("ga"), text.trigram_set(name).alias("tri"), text.soundex_code(name).alias("sdx"))
+                     text.gram_vector(text.gram_codes(name, 3)).alias("g3"), text.gram_vector(text.gram_codes(name, 4)).alias("g4"),
+                     text.gram_vector(text.gram_codes(addr, 3)).alias("ga"), text.trigram_set(name).alias("tri"), text.soundex_code(name).alias("sdx"))
 
 
 def with_sides(pairs: DataFrame, s1: DataFrame, other: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def native_features() -> dict[str, Column]:
         "zip_present_both": (l["zip"].isNotNull() & r["zip"].isNotNull()).cast("int"), "house_no_exact_match": same("house_no"),
         "country_match": (F.coalesce(l["country"], F.lit("UNK")) == F.coalesce(r["country"], F.lit("UNK"))).cast("int"),
         "name_char_3gram_cosine": zero(text.gram_cosine(l["g3"], r["g3"])), "name_char_4gram_cosine": zero(text.gram_cosine(l["g4"], r["g4"])),
-        "addr_char_3gram_cosine": zero(text.gram_cosine(l["ga"], r["ga"])), "name_trigram_jaccard": zero(text.token_overlap(l["tri"], r["tri"])),
+        "addr_char_3gram_cosine": zero(text.gram_cosine(l["ga"], r["ga"])), "name_trigram_jaccard": zero(text.set_overlap(l["tri"], r["tri"])),
         "name_soundex_match": F.coalesce((both & (l["sdx"] == r["sdx"])).cast("double"), F.lit(0.0)),
     }
 

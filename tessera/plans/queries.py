@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -27,18 +26,23 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    df = normalize(projection.records(spark, sf_dir))
+    """The three sources, normalised and written once."""
+    df = tables.written(_normal(spark, sf_dir), "records")
     return tuple(df.where(F.col("n") == i) for i in range(3))
 
 
+def _normal(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return normalize(projection.records(spark, sf_dir, whole).drop("text"))
+
+
 def _both(spark: SparkSession, sf_dir: str, pairs: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """pairs(anchors, others) for each of the other sources."""
     s1, s2, s3 = _sources(spark, sf_dir)
     return pairs(s1, s2).unionByName(pairs(s1, s3))
 
 
-def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize(projection.records(spark, sf_dir)).select("entity_id", "n", "country", "norm_name", "name_tokens")
+def _names(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return _normal(spark, sf_dir, whole).select("entity_id", "n", "country", "norm_name", "name_tokens")
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +70,7 @@ def anchor_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize(projection.records(spark, sf_dir)).select("entity_id", "country", "norm_name", F.size("name_tokens").alias("n_tokens"), "has_devanagari")
+    return _normal(spark, sf_dir, whole=True).select("entity_id", "country", "norm_name", F.size("name_tokens").alias("n_tokens"), "has_devanagari")
 
 
 @query
@@ -76,12 +80,12 @@ def normalize_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def name_tokens_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.keyed(_names(spark, sf_dir), "token").withColumnRenamed("key", "token")
+    return blocking.keyed(_names(spark, sf_dir, whole=True), "token").withColumnRenamed("key", "token")
 
 
 @query
 def script_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = projection.records(spark, sf_dir)
+    r = projection.records(spark, sf_dir, whole=True)
     return r.select("entity_id", text.has_devanagari(F.col("business_name")).alias("has_devanagari"), text.has_non_latin(F.col("business_name")).alias("has_non_latin"))
 
 
@@ -102,7 +106,7 @@ def address_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def soundex_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _names(spark, sf_dir).select("entity_id", text.soundex_code(F.col("norm_name")).alias("code"))
+    return _names(spark, sf_dir, whole=True).select("entity_id", text.soundex_code(F.col("norm_name")).alias("code"))
 
 
 @query
@@ -115,24 +119,25 @@ def part_name_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumnRenamed("key", "token").withColumn("safe", blocking.safe())
 
 
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-block statistics of the anchor source against each other one, over all words of the texts."""
+    keys = tables.written(blocking.keyed(_names(spark, sf_dir, whole=True), "token"), "tokens")
+    of = lambda i: keys.where(F.col("entity_id").startswith(f"S{i}-"))
+    return reduce(DataFrame.unionByName, (blocking.block_stats(of(1), of(i)).withColumn("other", F.lit(f"S{i}")) for i in (2, 3)))
+
+
 @query
 def block_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, s2, _ = _sources(spark, sf_dir)
-    return blocking.block_stats(blocking.keyed(s1, "token"), blocking.keyed(s2, "token")).withColumnRenamed("key", "token")
+    return _stats(spark, sf_dir).withColumnRenamed("key", "token")
 
 
 @query
 def block_guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, s2, _ = _sources(spark, sf_dir)
-    return blocking.guard_report(blocking.block_stats(blocking.keyed(s1, "token"), blocking.keyed(s2, "token")))
+    return blocking.guard_report(_stats(spark, sf_dir))
 
 
 def _block(kind: str) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s1, s2, _ = _sources(spark, sf_dir)
-        return blocking.block(s1, s2, kind)
-
-    return run
+    return lambda spark, sf_dir: _both(spark, sf_dir, lambda a, b: blocking.block(a, b, kind))
 
 
 QUERIES |= {f"block_{k}": _block(k) for k in ("token", "zip", "city_first", "soundex")}
@@ -140,34 +145,33 @@ QUERIES |= {f"block_{k}": _block(k) for k in ("token", "zip", "city_first", "sou
 
 @query
 def block_trigram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, s2, _ = _sources(spark, sf_dir)
-    return blocking.block_trigram(s1, s2).withColumn("jaccard", F.round("jaccard", 6))
+    return _both(spark, sf_dir, blocking.block_trigram).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query
 def block_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, s2, _ = _sources(spark, sf_dir)
-    return blocking.lexical_candidates(s1, s2)
+    return _both(spark, sf_dir, blocking.lexical_candidates)
 
 
 def _token_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    s1, s2, _ = _sources(spark, sf_dir)
-    return blocking.block(s1, s2, "token"), s1, s2
+    """Token-block pairs, the anchor source and the other two together."""
+    s1, s2, s3 = _sources(spark, sf_dir)
+    return blocking.block(s1, s2, "token").unionByName(blocking.block(s1, s3, "token")), s1, s2.unionByName(s3)
 
 
 @query
 def native_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features that are column expressions: overlaps, exact matches, n-gram cosines, phonetic match."""
-    pairs, s1, s2 = _token_pairs(spark, sf_dir)
-    df = features.with_sides(pairs, features.entity_side(s1), features.entity_side(s2))
+    pairs, s1, others = _token_pairs(spark, sf_dir)
+    df = features.with_sides(pairs, features.entity_side(s1), features.entity_side(others))
     return df.select(*PAIR, *(F.round(c, 6).alias(n) if "cosine" in n or n.endswith(("frac", "jaccard")) else c.cast("int").alias(n) for n, c in features.native_features().items()))
 
 
 @query
 def jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, s1, s2 = _token_pairs(spark, sf_dir)
+    pairs, s1, others = _token_pairs(spark, sf_dir)
     score = kernel_udf("jaro_winkler")
-    df = features.with_sides(pairs, s1.select("entity_id", "norm_name"), s2.select("entity_id", "norm_name"))
+    df = features.with_sides(pairs, s1.select("entity_id", "norm_name"), others.select("entity_id", "norm_name"))
     return df.select(*PAIR, F.round(score("l.norm_name", "r.norm_name")["jaro_winkler"], 6).alias("jaro_winkler"))
 
 
@@ -175,26 +179,24 @@ def jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
 def string_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratio, token-sort, token-set and partial ratio of the names."""
     names = ("ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio")
-    scores = kernel_udf(*names)
-    side = lambda df: df.select("entity_id", "norm_name")
-    df = _both(spark, sf_dir, lambda a, b: features.with_sides(blocking.block(a, b, "token"), side(a), side(b)).select(*PAIR, "l.norm_name", F.col("r.norm_name").alias("other_name")))
-    return df.withColumn("s", scores("norm_name", "other_name")).select(*PAIR, *(F.round(f"s.{n}", 6).alias(n) for n in names))
+    pairs, s1, others = _token_pairs(spark, sf_dir)
+    df = features.with_sides(pairs, s1.select("entity_id", "norm_name"), others.select("entity_id", "norm_name"))
+    return df.withColumn("s", kernel_udf(*names)("l.norm_name", "r.norm_name")).select(*PAIR, *(F.round(f"s.{n}", 6).alias(n) for n in names))
 
 
 @query
 def quick_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _both(spark, sf_dir, lambda a, b: features.quick_score(blocking.block(a, b, "token"), a, b))
-    return scored.select(*PAIR, F.round("_q", 6).alias("quick_score"))
+    return features.quick_score(*_token_pairs(spark, sf_dir)).select(*PAIR, F.round("_q", 6).alias("quick_score"))
 
 
 @query
 def pair_features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _both(spark, sf_dir, lambda a, b: features.pair_features(blocking.block(a, b, "token"), a, b))
+    return features.pair_features(*_token_pairs(spark, sf_dir))
 
 
 @query
 def tfidf_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = retrieval.tfidf_vocabulary(_names(spark, sf_dir).select(F.col("norm_name").alias("text")))
+    v = retrieval.tfidf_vocabulary(_names(spark, sf_dir, whole=True).select(F.col("norm_name").alias("text")))
     return v.select("gram", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -215,16 +217,17 @@ def tfidf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dual_pool_best_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name and address pools, the best score of each pair."""
-    s1, s2, _ = _sources(spark, sf_dir)
-    names = retrieval.tfidf_candidates(s1, [s2], "norm_name", top_k=30, min_score=0.2)[0]
-    addrs = retrieval.tfidf_candidates(s1, [s2], "norm_addr", top_k=15, min_score=0.3)[0]
-    return retrieval.best_of(names, addrs).withColumn("ann_score", F.round("ann_score", 6))
+    s1, s2, s3 = _sources(spark, sf_dir)
+    names = retrieval.tfidf_candidates(s1, [s2, s3], "norm_name", top_k=30, min_score=0.2)
+    addrs = retrieval.tfidf_candidates(s1, [s2, s3], "norm_addr", top_k=15, min_score=0.3)
+    return retrieval.best_of(*names, *addrs).withColumn("ann_score", F.round("ann_score", 6))
 
 
 @query
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every vector whose id is divisible by 50, the nearest of all vectors of its country."""
     v = projection.vectors(spark, sf_dir)
-    return retrieval.vector_top(v.where("n = 0"), v.where("n = 1"), top_k=5)
+    return retrieval.vector_top(v.where("vec_id % 50 = 0"), v, top_k=5)
 
 
 @query
@@ -259,7 +262,7 @@ def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def script_recall_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1 = normalize(projection.records(spark, sf_dir).where("n = 0"))
+    s1 = _normal(spark, sf_dir).where("n = 0")
     return evaluation.recall_by_script(_overlap(spark, sf_dir), _truth(spark, sf_dir), s1).withColumn("recall", F.round("recall", 6))
 
 
@@ -325,8 +328,7 @@ def truth_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def id_list_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Id lists written as TSV and read back with their lengths."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tessera"
-    path = f"{top}/id-lists-{uuid.uuid4().hex}"
+    path = tables.scratch_path(spark, "id-lists")
     tables.write_id_lists(anchor_matches(spark, sf_dir), path)
     return tables.read_id_lists(spark, path, "candidate_entity_ids")
 
@@ -336,6 +338,27 @@ def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.dataset_stats(projection.records(spark, sf_dir).where("n = 0"), truth_lists(spark, sf_dir))
 
 
+@query
+def matched_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.matched_stats(_truth(spark, sf_dir)).select("matched_entities", F.round("avg_matches", 6).alias("avg_matches"))
+
+
+@query
+def routed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True matches by the source that their id names."""
+    truth = _truth(spark, sf_dir)
+    return reduce(DataFrame.unionByName, (tables.of_source(truth, i).groupBy().agg(F.lit(f"S{i}").alias("source"), F.count("*").alias("matches")) for i in (2, 3)))
+
+
+@query
+def recall_at_k_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall at caps of trigram and token candidates, ranked by the trigram score or, without one, a hundredth of the quick score (here 100 times the overlap)."""
+    pairs = _overlap(spark, sf_dir).withColumn("_q", 100 * F.col("score")).drop("score")
+    second = _both(spark, sf_dir, blocking.block_trigram).select(*PAIR, F.round("jaccard", 6).alias("ann_score"))
+    scored = evaluation.fallback_score(pairs.join(second, PAIR, "left"))
+    return evaluation.recall_at_k(scored, "ann_score", _truth(spark, sf_dir), (1, 2, 5, 20)).withColumn("recall", F.round("recall", 6))
+
+
 @query
 def output_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, ids = _overlap(spark, sf_dir), _ids(spark, sf_dir)
@@ -375,8 +398,9 @@ def legacy_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quality(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Labelled features of token pairs in both sources; matches are equal texts."""
     s1, s2, s3 = _sources(spark, sf_dir)
-    rows = reduce(DataFrame.unionByName, (features.pair_features(blocking.block(s1, o, "token"), s1, o) for o in (s2, s3)))
-    return evaluation.labeled_pairs(rows, _truth(spark, sf_dir)).join(evaluation.split_entities(_ids(spark, sf_dir)), "source1_entity_id").persist(), rows
+    pairs = blocking.block(s1, s2, "token").unionByName(blocking.block(s1, s3, "token"))
+    rows = tables.written(features.pair_features(pairs, s1, s2.unionByName(s3)), "features")
+    return tables.written(evaluation.labeled_pairs(rows, _truth(spark, sf_dir)).join(evaluation.split_entities(_ids(spark, sf_dir)), "source1_entity_id"), "labelled"), rows
 
 
 @query
@@ -401,8 +425,7 @@ def ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def end_to_end_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and inference over the three sources: one row per anchor record with its matches."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tessera"
-    stages = tables.Checkpoints(spark, f"{top}/linkage-{uuid.uuid4().hex}")
+    stages = tables.Checkpoints(spark, tables.scratch_path(spark, "linkage"))
     r = projection.records(spark, sf_dir).drop("text")
     sources = [r.where(F.col("n") == i).drop("n") for i in range(3)]
     cfg = linkage.Config(vectors=False, rounds=8, depth=3, max_lexical=10)

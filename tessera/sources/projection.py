@@ -1,8 +1,9 @@
 """The driver's tables as record-linkage inputs.
 
-Documents become three sources by the number of their ``source`` modulo three:
-the first eight words are the name, the language is the country, and an address
-is made of the id, two further words and a postal code.  Equal texts in different
+Documents become three sources by the number of their ``source`` modulo three (the
+first, if it is null): the first eight words, or all of them, are the name (every tenth begins with a Devanagari word), English
+is the United States, German is India, another language is a country of its own, and an address
+is made of the id, two further words, a state and a postal code.  Equal texts in different
 sources are true matches.
 """
 
@@ -16,17 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, n (0 for the anchor source), country, business_name, business_address, text."""
+def records(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """entity_id, n (0 for the anchor source), country, business_name (with whole, all words of the text), business_address, text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    docs = docs.withColumn("n", F.substr("source", F.lit(4)).cast("int") % 3)
+    docs = docs.withColumn("n", F.coalesce(F.substr("source", F.lit(4)).cast("int") % 3, F.lit(0)))
     words = F.filter(F.split("text", "[ \\n\\t\\r]+"), lambda w: w != "")
     docs = docs.withColumn("w", words)
     tail = F.replace(F.array_join(F.slice("w", 9, 2), " "), F.lit(","), F.lit(""))
-    code = F.lpad((F.col("doc_id") % 97).cast("string"), 5, "0")
-    return docs.select(F.concat(F.lit("S"), F.col("n") + 1, F.lit("-"), F.col("doc_id")).alias("entity_id"), "n", F.col("lang").alias("country"),
-                       F.array_join(F.slice("w", 1, 8), " ").alias("business_name"),
-                       F.concat(F.col("doc_id"), F.lit(" Main St, "), tail, F.lit(", NC "), code).alias("business_address"), "text")
+    number, india = (F.col("doc_id") % 97).cast("string"), F.col("lang") == "de"
+    end = F.when(india, F.concat(F.lit(", Maharashtra, "), F.lpad(number, 6, "4"))).otherwise(F.concat(F.lit(", NC "), F.lpad(number, 5, "0")))
+    before = F.when(F.col("doc_id") % 10 == 3, "कंपनी ").otherwise("")
+    return docs.select(F.concat(F.lit("S"), F.col("n") + 1, F.lit("-"), F.col("doc_id")).alias("entity_id"), "n",
+                       F.when(F.col("lang") == "en", "US").when(india, "India").otherwise(F.col("lang")).alias("country"),
+                       F.concat(before, F.array_join("w" if whole else F.slice("w", 1, 8), " ")).alias("business_name"),
+                       F.concat(F.col("doc_id"), F.lit(" Main St, "), tail, end).alias("business_address"), "text")
 
 
 def truth_of(rows: DataFrame) -> DataFrame:
@@ -40,15 +44,15 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic addresses of customers in four styles: id, country, address."""
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     k, style = F.col("id").cast("string"), F.col("id") % 4
-    text = (F.when(style == 0, F.concat(F.lit("GREENSBORO, NC, "), k, F.lit(" 1/2 STARDUST TRAIL")))
-            .when(style == 1, F.concat(k, F.lit(" Westchester Dr, High Point, North Carolina "), F.lpad(k, 5, "2")))
-            .when(style == 2, F.concat(F.lit("G-"), k, F.lit(", GULMOHAR COLONY, BHOPAL, Madhya Pradesh, "), F.lpad(k, 6, "4")))
-            .otherwise(F.concat(k, F.lit("b Rue de la Paix, 75002, Paris"))))
+    text = (F.when(style == 0, F.concat(F.lit("ASHEVILLE, NC, "), k, F.lit(" 1/2 PEBBLE WALK")))
+            .when(style == 1, F.concat(k, F.lit(" Juniper Dr, Cedar Falls, South Dakota "), F.lpad(k, 5, "2")))
+            .when(style == 2, F.concat(F.lit("H-"), k, F.lit(", LOTUS ENCLAVE, NAGPUR, Maharashtra, "), F.lpad(k, 6, "4")))
+            .otherwise(F.concat(k, F.lit("b Quai du Vieux Moulin, 31000, Toulouse"))))
     return c.select("id", F.when(style < 2, "US").when(style == 2, "India").otherwise("France").alias("country"), text.alias("address"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, n, country (the label) and vector of the embeddings table."""
+    """vec_id, entity_id, country (the label) and vector of the embeddings table."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select(F.format_string("V%08d", "vec_id").alias("entity_id"), (F.col("vec_id") % 3).alias("n"), F.col("label").cast("string").alias("country"),
+    return e.select("vec_id", F.format_string("V%08d", "vec_id").alias("entity_id"), F.col("label").cast("string").alias("country"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("vector"))

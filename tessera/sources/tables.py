@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +36,11 @@ def explode_truth(truth: DataFrame) -> DataFrame:
     return truth.select("source1_entity_id", F.explode(parse_ids(F.col("matched_entity_ids"))).alias("other_entity_id"))
 
 
+def of_source(pairs: DataFrame, number: int, column: str = "other_entity_id") -> DataFrame:
+    """The rows whose id, without blanks around it, belongs to source ``number`` by its prefix."""
+    return pairs.where(F.trim(column).startswith(f"S{number}-"))
+
+
 def id_lists(entities: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     """One row per entity of entities(source1_entity_id): its distinct partners, sorted, as a comma list, '' if none."""
     lists = pairs.groupBy("source1_entity_id").agg(F.concat_ws(",", F.array_sort(F.collect_set("other_entity_id"))).alias(column))
@@ -58,11 +66,38 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+_local: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that the session names in spark.checkpoint.dir; a temporary folder takes its place on a local master only."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not top:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if not _local:
+            _local.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
+        top = _local[0]
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written once below the shared folder: what follows reads it as often as it likes, and lost executors lose nothing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Checkpoints:
-    """Stage results as Parquet below a folder; a stage counts as done once its _SUCCESS marker stands."""
+    """Stage results as Parquet below a folder; a stage counts as done once its _SUCCESS marker stands.
+
+    key: what the results depend on besides their names (configuration, inputs); each key has a folder of its own.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, key: object = None):
         self.spark, self.folder = spark, folder.rstrip("/")
+        if key is not None:
+            self.folder += "/" + hashlib.sha256(repr(key).encode()).hexdigest()[:16]
 
     def _fs(self, path: str):
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -72,6 +107,15 @@ class Checkpoints:
         store, path = self._fs(f"{self.folder}/{stage}/_SUCCESS")
         return store.exists(path)
 
+    def mark(self, stage: str) -> None:
+        """Tells that a stage that writes its own files has written all of them."""
+        store, path = self._fs(f"{self.folder}/{stage}/_DONE")
+        store.create(path, True).close()
+
+    def marked(self, stage: str) -> bool:
+        store, path = self._fs(f"{self.folder}/{stage}/_DONE")
+        return store.exists(path)
+
     def put(self, stage: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.folder}/{stage}")
         return self.get(stage)

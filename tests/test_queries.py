@@ -1,12 +1,14 @@
 """Every query against its SQL, and invariants of those without."""
 
 import math
+import random
 
 import duckdb
 import pytest
 
 from tessera.plans.oracle import ORACLE
 from tessera.plans.queries import QUERIES
+from tessera.operators import blocking, retrieval
 from tessera.plans import linkage
 from tessera.sources import projection, tables
 
@@ -77,6 +79,82 @@ def test_linkage_end_to_end(spark, tmp_path):
     assert same == threshold
 
 
+def test_vectors_with_nulls(spark):
+    """Rows without a whole vector take no part, and do not shift the others."""
+    schema = "entity_id string, country string, vector array<double>"
+    a = spark.createDataFrame([("q1", "x", [1.0, 0.0]), ("q2", "x", None), ("q3", "x", []), ("q4", "y", [0.0, 1.0]), (None, "x", [1.0, 1.0]), ("q5", "x", [0.0, None])], schema)
+    b = spark.createDataFrame([("n", "x", None), ("a", "x", [1.0, 0.0]), ("m", "x", []), ("b", "x", [0.0, 1.0]), ("z", "z", [1.0, 0.0])], schema).coalesce(1)
+    assert sorted(map(tuple, retrieval.vector_top(a, b, top_k=3).collect())) == [("q1", "a", 1.0), ("q1", "b", 0.0)]
+    assert retrieval.vector_top(a.limit(0), b).count() == 0
+
+
+def test_tfidf_against_all_pairs(spark):
+    """The prefix filter loses no pair, at low and high scores."""
+    pick = random.Random(3)
+    words = [f"{pick.choice('abc')}{pick.choice('xyz')}{i % 30}" for i in range(60)]
+    rows = [(f"S{1 + i % 2}-{i}", i % 2, "c" if i % 5 else "d", " ".join(pick.choice(words) for _ in range(pick.randint(0, 6)))) for i in range(120)]
+    df = spark.createDataFrame(rows, "entity_id string, n int, country string, t string")
+    s1, s2 = df.where("n = 0"), df.where("n = 1")
+    vocabulary = retrieval.tfidf_vocabulary(df.select(df.t.alias("text")))
+    w = {}
+    for r in retrieval.tfidf_weights(df, vocabulary, "t").collect():
+        w.setdefault((r.entity_id, r.country), {})[r.gram] = r.weight
+    for least in (0.05, 0.2, 0.7):
+        want = {}
+        for (a, c), x in w.items():
+            for (b, d), y in w.items():
+                score = round(sum(v * y.get(g, 0.0) for g, v in x.items()), 9)
+                if a[:2] == "S1" and b[:2] == "S2" and c == d and score >= least:
+                    want[a, b] = score
+        got = {(r[0], r[1]): r[2] for r in retrieval.tfidf_candidates(s1, [s2], "t", top_k=1000, min_score=least)[0].collect()}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 2e-9 for k in got) and got
+
+
+def test_embedding_hook(spark):
+    """An embedding learns which side it encodes; vectors may also come from a column."""
+    seen = []
+
+    def embed(df, text, side):
+        seen.append(side)
+        return retrieval.hashed_vectors(df, text, side)
+
+    schema = "entity_id string, country string, norm_name string, norm_addr string, vec array<double>"
+    a, b = spark.createDataFrame([("S1-1", "x", "red fox", "", [1.0, 0.0])], schema), spark.createDataFrame([("S2-1", "x", "red fox", "", [0.6, 0.8])], schema)
+    assert retrieval.embedding_candidates(a, b, embed=embed, name=False).first().ann_score == 1.0 and seen == ["query", "passage"]
+    assert 0 < retrieval.embedding_candidates(a, b, embed=retrieval.prefixed(embed, retrieval.PREFIXES), name=False).first().ann_score < 1
+    cfg = linkage.Config(embed="column:vec")
+    assert retrieval.embedding_candidates(a, b, embed=linkage.embedding(cfg)).first().ann_score == 0.6
+    assert linkage.embedding(linkage.Config(embed="tessera.operators.retrieval:hashed_vectors")) is retrieval.hashed_vectors
+
+
+def test_block_guard_is_optional(spark):
+    schema = "entity_id string, country string, zip string, city string, name_tokens array<string>, norm_name string"
+    side = lambda n: spark.createDataFrame([(f"S{n}-{i}", "US", "00001" if i < 4 else f"{i:05d}", None, [], "") for i in range(6)], schema)
+    assert blocking.block(side(1), side(2), "zip").count() == 18
+    assert blocking.block(side(1), side(2), "zip", guard=True, max_pairs=9).count() == 2
+
+
+def test_command_line(spark, tmp_path):
+    """train and infer over files: reports, importances, models from another folder, stages by configuration."""
+    rows = projection.records(spark, SF)
+    for split in ("train", "test"):
+        for i in range(3):
+            part = rows.where(f"n = {i}").select("entity_id", "business_name", "business_address", "country").toPandas()
+            part.to_csv(tmp_path / f"{split}_source{i + 1}.tsv", sep="\t", index=False)
+    truth = projection.truth_of(rows).toPandas().groupby("source1_entity_id")["other_entity_id"].agg(",".join).reset_index(name="matched_entity_ids")
+    truth.to_csv(tmp_path / "train_ground_truth.tsv", sep="\t", index=False)
+    common = ["--data-dir", f"file://{tmp_path}", "--out-dir", f"file://{tmp_path}/out", "--rounds", "2", "--depth", "2", "--max-lexical", "4", "--min-rows", "2"]
+    linkage.main(["train", *common])
+    folder = next((tmp_path / "out/stages").iterdir())
+    assert {"train-recall-at-k", "train-stats", "train-countries", "train-matched"} <= {p.name for p in folder.iterdir()} and (folder / "model0/_DONE").exists()
+    assert spark.read.option("header", True).csv(f"file://{tmp_path}/out/importances").count() == len(linkage.features.FEATURES) + 2
+    linkage.main(["infer", *common, "--threshold", "0.5"])
+    assert spark.read.json(f"file://{tmp_path}/out/infer-report").first().verdict in ("too many", "too few", "in range")
+    linkage.main(["infer", *common, "--threshold", "0.5", "--max-lexical", "3", "--model-dir", f"file://{folder}"])
+    assert len([*(tmp_path / "out/stages").iterdir()]) == 2
+    assert tables.read_id_lists(spark, f"file://{tmp_path}/out/matching_results", "matched_entity_ids").count() == rows.where("n = 0").count()
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\tNA\t\tUS\nS1-2\tn\"x\ta, b\t\n")
     rows = tables.read_records(spark, f"file://{tmp_path}/a.tsv").collect()
