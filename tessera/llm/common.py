@@ -14,8 +14,9 @@ import gc
 import tempfile
 import uuid
 import weakref
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 1_000_000
 #: Bytes that it may have.
 BROADCAST_BYTES = 128 << 20
+#: Edges whose components one task finds, in some 100 MB.
+ONE_TASK = 500_000
 
 #: Java form of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -87,15 +90,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def drop_tables(*tables: DataFrame) -> None:
-    """Deletes tables of materialize() that nothing reads any more, and lets Spark's cleaner see which shuffles are no longer needed."""
+def drop_tables(*tables: DataFrame, clean: bool = False) -> None:
+    """Deletes tables of materialize() that nothing reads any more; with clean, lets Spark's cleaner see which shuffles are no longer needed."""
     for t in tables:
         spark, path = t.sparkSession, _written.pop(t)
         jvm = spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    gc.collect()
-    tables[0].sparkSession.sparkContext._jvm.System.gc()
+    if clean:
+        gc.collect()
+        SparkSession.active().sparkContext._jvm.System.gc()
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
@@ -120,17 +124,41 @@ def key_part(c: Column) -> Column:
     return F.struct(c.isNull().alias("none"), F.coalesce(c.cast("string"), F.lit("")).alias("value"))
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of edges(a, b): one row (node, component) for each node, component its smallest node.
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components (node, component) of all edges (u, v) of a task, by union-find."""
+    parts = [*batches]
+    u, v = (np.concatenate([np.empty(0, np.int64), *(b.column(k).to_numpy() for b in parts)]) for k in (0, 1))
+    names, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    parent = list(range(len(names)))
 
-    Alternates large-star and small-star steps.  Each step takes the least
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for x, y in zip(at[: len(u)].tolist(), at[len(u) :].tolist(), strict=True):
+        x, y = top(x), top(y)
+        parent[max(x, y)] = min(x, y)  # names are sorted, so the least name is on top
+    tops = np.fromiter(map(top, range(len(names))), np.int64, len(names))
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[tops])], names=["node", "component"])
+
+
+def components(edges: DataFrame, name: str = "components", one_task: int = ONE_TASK) -> DataFrame:
+    """Connected components of edges(a, b): a written table with one row (node, component) for each node, component its smallest node.
+
+    Up to ``one_task`` distinct edges (counted) are joined in one task.  More of them
+    alternate large-star and small-star steps.  Each step takes the least
     neighbour by a pre-aggregated min and joins it back, so a hub with any
     number of edges costs no more than its edges; a skewed join side is split
     by adaptive execution.  Ends when the edges are stars.  Nulls and loops
     are ignored.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = materialize(pairs, name)
+    edges = materialize(pairs, f"{name}-edges")
+    if edges.count() <= one_task:
+        found = materialize(edges.coalesce(1).mapInArrow(_joined, "node bigint, component bigint"), name)
+        drop_tables(edges)
+        return found
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -139,10 +167,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         small_star = (large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct())
-        edges = materialize(small_star, name)
+        last, edges = edges, materialize(small_star, f"{name}-edges")
+        drop_tables(last)
         # Stars keep what is connected together, so the labels are final once each node has one edge and no root has any.
         ends = edges.select("u", F.lit(0).alias("root")).union(edges.select(F.col("v").alias("u"), F.lit(1).alias("root")).distinct())
         if not ends.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
             break
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    found = materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), name)
+    drop_tables(edges)
+    return found

@@ -59,7 +59,7 @@ SURE = 5
 #: Partners that a row gives in each order, round by round; None: all.
 PARTNERS: tuple[int | None, ...] = (4, 32, None)
 #: Times that rows of the first round give their best partner in another component before the others are looked at.
-BEST_ROUNDS = 3
+BEST_ROUNDS = 2
 #: Rows of a range partition, of a chunk that a task looks at together, and shingles of a block of sets.
 PART_ROWS, CHUNK_ROWS, BLOCK = 50_000, 8_192, 1 << 18
 #: A key: the tree, the high bytes of the first MIN_DEPTH minima, then the low bytes of DEPTH minima.
@@ -418,7 +418,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = F.min_by(F.struct("low", "high", "sketch"), "id").alias("s")
     reps = signed.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep"), least)
     classes = materialize(reps.select("set_key", "rep", "s.*"), "forest-classes")
-    drop_tables(signed)
+    drop_tables(signed, clean=True)
 
     joined, tested, clusters, active = None, [], None, classes.withColumnRenamed("rep", "id")
     for most in PARTNERS:
@@ -428,11 +428,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if joined is None:
             # Each row's best partner; then, as long as rows give links, the best in another component.
             for _ in range(BEST_ROUNDS):
-                open_pairs = pairs if joined is None else _untested(pairs, joined, None, tested)
-                best = open_pairs.groupBy("id").agg(F.max(F.struct("matches", (-F.col("other")).alias("other"))).alias("m")).select("id", (-F.col("m.other")).alias("other"))
+                untested = pairs if joined is None else _untested(pairs, _labels(joined, None), tested)
+                best = untested.groupBy("id").agg(F.max(F.struct("matches", (-F.col("other")).alias("other"))).alias("m")).select("id", (-F.col("m.other")).alias("other"))
                 best = materialize(best.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "forest-best")
                 tested.append(best)
                 links = materialize(confirm(docs, best, width, percent, **names), "forest-links")
+                drop_tables(clean=True)
                 joined = components(links) if joined is None else _extended(joined, links)
                 if not links.limit(1).count():
                     break
@@ -441,7 +442,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 clusters = _clusters(crowded)
                 links = settle(docs, clusters, joined, width, percent, **names)
                 joined = joined if links is None else _extended(joined, links)
-        rest = _untested(pairs, joined, clusters, tested).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        rest = _untested(pairs, _labels(joined, clusters), tested).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         rest = materialize(rest, "forest-rest")
         tested.append(rest)
         if rest.limit(1).count():
@@ -450,45 +451,47 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             break
         more = found.where(F.col("kind") == _MORE).select("id").distinct()
         active = materialize(active.join(more, "id", "left_semi").select("id", "low", "high", "sketch"), "forest-more")
-        drop_tables(*parts)
+        drop_tables(*parts, clean=True)
         if not active.limit(1).count():
             break
     # Equal ids with several texts put several sets under one node.
     final = joined.withColumnRenamed("node", "rep")
     of_set = materialize(classes.select("set_key", "rep").join(final, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id")), "forest-sets-of")
-    drop_tables(classes, *tested)
+    drop_tables(classes, *tested, clean=True)
     return rows.join(of_set, "set_key", "left").select(
         "id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
+def _extended(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """joined(node, component) after further links(a, b)."""
+    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b")))
+
+
+def _labels(joined: DataFrame, clusters: DataFrame | None) -> DataFrame:
+    """(id, of, cluster): the component of joined(node, component) and the cluster of clusters(id, cluster), null where there is none; broadcast if small."""
+    rows = joined.select(F.col("node").alias("id"), F.col("component").alias("of"))
+    if clusters is None:
+        return small(materialize(rows.withColumn("cluster", F.lit(None).cast("long")), "forest-labels"))
+    return small(materialize(rows.join(clusters, "id", "full"), "forest-labels"))
+
+
 def _labelled(rows: DataFrame, joined: DataFrame | None, clusters: DataFrame | None) -> DataFrame:
     """rows(id, low, high, sketch) with of, the row's component, and cluster; written if that takes a join."""
     rows = rows.select("id", "low", "high", "sketch")
     if joined is None:
         return rows.withColumns({"of": F.col("id"), "cluster": F.lit(None).cast("long")})
-    rows = rows.join(joined.select(F.col("node").alias("id"), F.col("component").alias("of")), "id", "left").withColumn("of", F.coalesce("of", "id"))
-    rows = rows.join(clusters, "id", "left") if clusters is not None else rows.withColumn("cluster", F.lit(None).cast("long"))
-    return materialize(rows, "forest-active")
+    return materialize(rows.join(_labels(joined, clusters), "id", "left").withColumn("of", F.coalesce("of", "id")), "forest-active")
 
 
-def _untested(pairs: DataFrame, joined: DataFrame, clusters: DataFrame | None, tested: list[DataFrame]) -> DataFrame:
+def _untested(pairs: DataFrame, labels: DataFrame, tested: list[DataFrame]) -> DataFrame:
     """pairs(id, other, matches) without those that are connected, of one cluster, or in a table of tested(a, b)."""
-    both = ("id", "other")
-    of = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-    left = pairs.join(of("id"), "id", "left").join(of("other"), "other", "left").where(F.coalesce("of_id", "id") != F.coalesce("of_other", "other"))
-    if clusters is not None:
-        run = lambda side: clusters.select(F.col("id").alias(side), F.col("cluster").alias(f"run_{side}"))
-        left = left.join(run("id"), "id", "left").join(run("other"), "other", "left").where("run_id is null or run_other is null or run_id <> run_other")
-    left = left.select(*both, "matches", F.least(*both).alias("a"), F.greatest(*both).alias("b"))
-    for t in tested:
-        left = left.join(t, ["a", "b"], "left_anti")
-    return left.select(*both, "matches")
-
-
-def _extended(joined: DataFrame, links: DataFrame) -> DataFrame:
-    """joined(node, component) after further links(a, b)."""
-    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b")))
+    for side in ("id", "other"):
+        pairs = pairs.join(labels.select(F.col("id").alias(side), F.col("of").alias(f"of_{side}"), F.col("cluster").alias(f"cluster_{side}")), side, "left")
+    apart = F.coalesce("of_id", "id") != F.coalesce("of_other", "other")
+    pairs = pairs.where(apart & ~F.coalesce(F.col("cluster_id") == F.col("cluster_other"), F.lit(False)))
+    pairs = pairs.select("id", "other", "matches", F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    return pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti").select("id", "other", "matches")
 
 
 def filter_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
