@@ -27,13 +27,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (a row for each time), in shards by place."""
-    drawn = mixing.mix(docs)
-    return drawn.select("doc.*")
+    """Documents as often as the mix takes them, a row for each time; a shard's rows lie together, in their drawn order."""
+    return mixing.mix(docs).select("doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every row, with its sequence and place."""
+    """Every piece of every row, with its sequence and place; rows that the mix has taken more than once are dealt apart."""
     # Small caches and groups: a worker's memory also holds what earlier stages left.
     found = packing.pack_documents(docs, tokenizer_path(), cache_words=200_000, cache_letters=200_000, keep_cache=False, group_bytes=1 << 20)
     return found.withColumnRenamed("id", "doc_id")
