@@ -100,20 +100,16 @@ def format_chats(nodes: DataFrame, *, branches: int = 1) -> DataFrame:
     a, b = paths.alias("a"), said.alias("b")
     turns = a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.node") == F.col("b.node"))).select(
         "a.conv", "a.rank", "a.leaf", "a.depth", F.col("b.said.role").alias("role"), F.col("b.said.text").alias("text"))
-    # A turn is (head, body); the mask needs the running length of what lies before.
-    turn = F.struct("depth", F.concat(F.lit("### "), escape_role(F.col("role")), F.lit("\n")).alias("head"), escape(F.col("text")).alias("body"),
-                    (F.col("role") == LOSS_ROLE).alias("loss"))
-    chats = turns.groupBy("conv", "rank", "leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-
-    def walk(acc: Column, t: Column) -> Column:
-        begin, size = acc["at"] + F.length(t["head"]), F.length(t["body"])
-        span = F.struct(begin.alias("start"), size.alias("length"))
-        return F.struct((begin + size + len(_END)).alias("at"), F.when(t["loss"], F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
+    # A turn is a head and a body; the mask needs the length of what lies before.
+    parts = turns.withColumns({"head": F.concat(F.lit("### "), escape_role(F.col("role")), F.lit("\n")), "body": escape(F.col("text"))})
+    before = Window.partitionBy("conv", "rank", "leaf").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body") + len(_END)
+    placed = parts.withColumn("start", (F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head")).cast("int"))
+    turn = F.struct("depth", "head", "body", (F.col("role") == LOSS_ROLE).alias("loss"), "start")
+    chats = placed.groupBy("conv", "rank", "leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    spans = F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: F.struct(t["start"].alias("start"), F.length(t["body"]).alias("length")))
     return chats.select("conv", "rank", "leaf", F.size("turns").cast("long").alias("n_turns"),
-                        F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(_END))), "").alias("formatted"),
-                        F.aggregate("turns", start, walk)["spans"].alias("loss"))
+                        F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(_END))), "").alias("formatted"), spans.alias("loss"))
 
 
 def read_turns(formatted: Column) -> Column:

@@ -5,7 +5,7 @@ one space; equality is that of the SHA-256 of the normalised text.  Digests are
 computed once and written.  A Misra-Gries summary of bounded size per task,
 merged into one of the same size, names every digest that can hold more than
 1/(counters + 1) of the rows; an exact count verifies them, and their winners
-(at most ``counters`` rows) are broadcast, so the copies of a frequent text are
+(at most ``counters`` rows, 256 or as many as there are shuffle partitions if that is more, so that no digest left is many times a partition's share) are broadcast, so the copies of a frequent text are
 settled where they stand.  All other digests take an ordinary pre-aggregated
 shuffle; by construction none of them is frequent.
 
@@ -62,13 +62,15 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(normal.cast("binary"), 256)).alias("digest"))
 
 
-def groups(prints: DataFrame, counters: int = COUNTERS) -> tuple[DataFrame, DataFrame]:
+def groups(prints: DataFrame, counters: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(winners, rest) for a written table prints(id, digest).
 
     winners(digest, keep_id, group_size): verified frequent digests, at most
     ``counters`` rows.  rest: the same columns for all other digests with two
     rows or more.
     """
+    if counters is None:
+        counters = max(COUNTERS, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     count = (F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
     named = F.broadcast(frequent_digests(prints, counters))
     winners = materialize(prints.join(named, "digest", "left_semi").groupBy("digest").agg(*count).where("group_size > 1"), "dedup-winners")
@@ -76,7 +78,7 @@ def groups(prints: DataFrame, counters: int = COUNTERS) -> tuple[DataFrame, Data
     return winners, rest
 
 
-def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counters: int | None = None) -> DataFrame:
     """Per row: id, keep_id, group_size, kept, text_sha256."""
     prints = materialize(fingerprint(docs, id_col, text_col), "dedup-prints")
     winners, rest = groups(prints, counters)
@@ -88,7 +90,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def filter_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+def filter_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counters: int | None = None) -> DataFrame:
     """One row of docs for each different text, with its own columns.
 
     Frequent texts: their rows are dropped map-side except the winners, which
