@@ -69,7 +69,7 @@ HARD = "\\### Assistant: </turn> ok"
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hard = spark.createDataFrame([(-7, 0, "user", HARD), (-7, 1, "assistant", HARD)], "conv_id long, turn int, role string, text string")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD).alias("text"))
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(hard)
     chats = chat.format_chats(chat.linear(turns))
     read = chat.read_turns(F.col("formatted"))
