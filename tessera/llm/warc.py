@@ -11,6 +11,12 @@ block, and owns the records whose first byte lies in its range; a record may end
 in a later range.  After a record the next one is expected where it ended;
 whatever else stands there is scanned over.
 
+Foreign archives are read too: header names in any case, folded lines, ids of any
+form (``record_id``; ``page_id`` only for those written here), records without a digest.  Records of
+other types (warcinfo, request, metadata) are left out unless asked for.  A member that starts as a WARC record but cannot be
+read to its end (cut off, broken, without a valid length) is a record of type ``malformed``, left out
+likewise; reading goes on behind its first byte.
+
 Cases: null html is an empty payload, null url is left out and read back as
 null, a null id is written as no id and read back as null.  Rows that repeat the
 smallest id of a payload are all responses.  An empty table writes archives
@@ -63,19 +69,38 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return c.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + c.flush()
 
 
+def _fields(head: bytes) -> dict[str, str]:
+    """Header fields by lower-case name; a line that starts with a blank goes on with the one before."""
+    fields, last = {}, None
+    for line in head.decode("utf-8", "replace").split("\r\n"):
+        if line[:1] in (" ", "\t") and last:
+            fields[last] += " " + line.strip()
+        elif ":" in line:
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            fields[last] = value.strip()
+    return fields
+
+
 def parse(raw: bytes, payload: bool) -> dict:
-    """The fields of one inflated record."""
+    """The fields of one inflated record; record_type is ``malformed`` if its length is missing or its block cut off."""
     head, _, rest = raw.partition(b"\r\n\r\n")
-    fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    block = rest[: int(fields["Content-Length"])]
-    http, _, body = block.partition(b"\r\n\r\n")
-    revisit = fields["WARC-Type"] == "revisit"
-    number = lambda name: int(x) if (x := fields.get(name, "").strip("<>").removeprefix(_URN)) else None
-    length = next((int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), 0)
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha256:") if revisit else hashlib.sha256(body).hexdigest()
-    return {"page_id": number("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"],
-            "refers_to": number("WARC-Refers-To"), "payload_bytes": length if revisit else len(body), "payload_digest": digest,
-            "payload": None if revisit or not payload else body}
+    fields = _fields(head.partition(b"\r\n")[2])
+    name = lambda f: fields[f].strip("<>") if fields.get(f) else None
+    number = lambda x: int(x.removeprefix(_URN)) if x and x.startswith(_URN) and x.removeprefix(_URN).lstrip("-").isdigit() else None
+    ident, refers, kind = name("warc-record-id"), name("warc-refers-to"), fields.get("warc-type", "").lower()
+    out = {"page_id": number(ident), "record_id": None if ident == _URN else ident, "url": name("warc-target-uri"), "record_type": kind, "refers_to": number(refers), "refers_to_id": refers,
+           "payload_bytes": None, "payload_digest": None, "payload": None}
+    size = fields.get("content-length", "")
+    if not (size.isascii() and size.isdigit()) or len(rest) < int(size) or not kind:
+        return out | {"record_type": "malformed"}
+    block = rest[: int(size)]
+    http, _, body = block.partition(b"\r\n\r\n") if fields.get("content-type", "").lower().startswith("application/http") else (b"", b"", block)
+    if kind == "revisit":
+        length = _fields(http).get("content-length", "")
+        digest = fields.get("warc-payload-digest")
+        return out | {"payload_bytes": int(length) if length.isascii() and length.isdigit() else None, "payload_digest": digest.removeprefix("sha256:") if digest else None}
+    return out | {"payload_bytes": len(body), "payload_digest": hashlib.sha256(body).hexdigest(), "payload": body if payload else None}
 
 
 class _Archive:
@@ -94,7 +119,7 @@ class _Archive:
         return memoryview(self.buf)[p - self.base : p - self.base + n]
 
     def member(self, p: int) -> tuple[bytes, int] | None:
-        """(inflated record, offset after it) if a WARC record starts at p."""
+        """(inflated record, offset after it) if a WARC record starts at p; (what there is of it, p + 1) if it can't be read to its end."""
         if bytes(self.at(p, 3)) != _MAGIC:
             return None
         inflate, out, q = zlib.decompressobj(31), [], p
@@ -102,15 +127,17 @@ class _Archive:
             while not inflate.eof:
                 piece = self.at(q, _PIECE)
                 if not piece:
-                    return None
+                    break
                 q += len(piece)
                 out.append(inflate.decompress(piece))
-                if len(out) == 1 and out[0] and not out[0].startswith(b"WARC/1."[: len(out[0])]):
+                if len(out) == 1 and out[0] and not out[0].startswith(b"WARC/"[: len(out[0])]):
                     return None
         except zlib.error:
-            return None
+            pass
         raw = b"".join(out)
-        return (raw, q - len(inflate.unused_data)) if raw.startswith(b"WARC/1.") and b"\r\n\r\n" in raw else None
+        if not raw.startswith(b"WARC/"):
+            return None
+        return (raw, q - len(inflate.unused_data)) if inflate.eof and b"\r\n\r\n" in raw else (raw[:0], p + 1)
 
     def find(self, p: int, end: int) -> int:
         """The first place of the magic in [p, end), or end."""
@@ -126,7 +153,7 @@ class _Archive:
 
 
 def records_in(path: str, start: int, end: int) -> Iterator[bytes]:
-    """The inflated records of an archive whose first byte lies in [start, end)."""
+    """The inflated records of an archive whose first byte lies in [start, end); empty for one that can't be read to its end."""
     archive, p = _Archive(path), start
     while (p := archive.find(p, min(end, archive.size))) < min(end, archive.size):
         found = archive.member(p)
@@ -168,37 +195,47 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
                     member = record(ident, url, html[i].as_py() or b"", refers, digest, level=level)
                     out.write(member)
                     size, n = size + len(member), n + 1
-        store.move(half, name)
+        try:
+            store.move(half, name)
+        except OSError:  # where a move doesn't replace what a lost run of this task has left
+            store.delete_file(name)
+            store.move(half, name)
         uri = f"file://{name}" if isinstance(store, pafs.LocalFileSystem) else f"{path.rstrip('/')}/part-{task.partitionId():06d}.warc.gz"
         yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([size], pa.int64()), pa.array([n], pa.int64())], names=["path", "bytes", "records"])
 
     return materialize(rows.mapInArrow(write, "path string, bytes bigint, records bigint"), "warc-files")
 
 
-def read_warc(archives: DataFrame, *, split_bytes: int = SPLIT_BYTES, payload: bool = True) -> DataFrame:
-    """Records of archives(path, bytes): page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload.
+_RECORD = {"page_id": "bigint", "record_id": "string", "url": "string", "record_type": "string", "refers_to": "bigint", "refers_to_id": "string",
+           "payload_bytes": "bigint", "payload_digest": "string", "payload": "binary"}
+
+
+def read_warc(archives: DataFrame, *, split_bytes: int = SPLIT_BYTES, payload: bool = True, types: tuple[str, ...] | None = ("response", "revisit")) -> DataFrame:
+    """Records of archives(path, bytes): page_id, record_id, url, record_type, refers_to, refers_to_id, payload_bytes, payload_digest, payload.
 
-    payload is null for revisits, and everywhere with payload=False.
+    types: the record types to read, None for all, ``malformed`` among them.  payload is null for revisits, and everywhere with payload=False.
     """
     ranges = archives.where("bytes > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     ranges = ranges.withColumn("end", F.col("start") + split_bytes)
     ranges = ranges.repartition(max(ranges.sparkSession.sparkContext.defaultParallelism, int(ranges.count())))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
+        whole = {c: "Int64" for c, kind in _RECORD.items() if kind == "bigint"}
         for batch in batches:
             for path, start, end in batch.itertuples(index=False):
                 held, size = [], 0
                 for raw in records_in(path, start, end):
-                    held.append(parse(raw, payload))
-                    size += len(raw) if payload else 300
+                    found = parse(raw, payload)
+                    if types is None or found["record_type"] in types:
+                        held.append(found)
+                        size += len(raw) if payload else 300
                     if size > 8 << 20:
-                        yield pd.DataFrame(held, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
+                        yield pd.DataFrame(held, columns=[*_RECORD]).astype(whole)
                         held, size = [], 0
                 if held:
-                    yield pd.DataFrame(held, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
+                    yield pd.DataFrame(held, columns=[*_RECORD]).astype(whole)
 
-    return ranges.mapInPandas(read, "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary")
+    return ranges.mapInPandas(read, ", ".join(f"{c} {kind}" for c, kind in _RECORD.items()))
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
