@@ -281,16 +281,17 @@ def scan(rows: DataFrame, most: int | None) -> list[DataFrame]:
     forest = rows.select("id", "sketch", "of", "cluster", "high", "low", trees).select(key.alias("key"), "sketch", "id", "of", "cluster", F.lit(-1).alias("border"))
     parts = max(1, rows.count() * TREES // PART_ROWS)
     found = materialize(forest.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id").mapInArrow(lambda b: _scan(b, most, True), _FOUND), "forest-scan")
-    if parts == 1:
+    # The last rows of a partition meet the first of the next one; the last partition's have none to meet.  Should
+    # another border have fewer rows than regions on both sides may have, as partitions are short or empty, all borders are one list.
+    ends = found.where(F.col("kind") == _BORDER)
+    sizes = ends.where("border >= 0").groupBy("border").agg(F.count("*").alias("n"))
+    r = sizes.agg(F.count("*").alias("borders"), F.count_if(F.col("n") < 2 * REGION).alias("few"), F.max_by("n", "border").alias("last")).first()
+    if r.borders < 2:
         return [found]
-    # The last rows of a partition and the first of the next one.  Should one have fewer rows than a region may have, all borders are one list.
-    sizes = found.where(F.col("kind") == _BORDER).groupBy("border").count()
-    few = parts > 1 and sizes.where(f"count < {2 * REGION} and border >= 0 and border < {parts - 1}").limit(1).count() > 0
-    ends = found.where((F.col("kind") == _BORDER) & (F.col("border") >= 0) & (F.col("border") < parts - 1 if not few else F.lit(True)))
-    if few:
-        ends = found.where(F.col("kind") == _BORDER).drop("border").distinct().withColumn("border", F.lit(0)).coalesce(1)
+    if r.few > (r.last < 2 * REGION):
+        ends = ends.drop("border").distinct().withColumn("border", F.lit(0)).coalesce(1)
     else:
-        ends = ends.repartition("border")
+        ends = ends.where("border >= 0").repartition("border")
     ends = ends.select("key", "sketch", "id", "of", "cluster", "border").sortWithinPartitions("border", "key", "id")
     return [found, materialize(ends.mapInArrow(lambda b: _scan(b, most, False), _FOUND), "forest-crossing")]
 
@@ -381,6 +382,7 @@ def settle(docs: DataFrame, clusters: DataFrame, joined: DataFrame, width: int =
     rows = clusters.join(joined.select(F.col("node").alias("id"), F.col("component").alias("of")), "id", "left").withColumn("of", F.coalesce("of", "id"))
     sizes = rows.groupBy("cluster", "of").agg(F.count("*").alias("n"))
     main = sizes.groupBy("cluster").agg(F.max_by("of", F.struct("n", "of")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cluster", "main")
+    main = small(materialize(main, "forest-main"))  # a cluster may hold any share of the rows: they should not meet by it
     rows = materialize(rows.join(main, "cluster").withColumn("out", F.col("of") != F.col("main")).drop("main"), "forest-contested")
     if not rows.limit(1).count():
         drop_tables(rows)
@@ -399,7 +401,7 @@ def settle(docs: DataFrame, clusters: DataFrame, joined: DataFrame, width: int =
     amount = F.octet_length("set").cast("long")
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(c / (8 * BLOCK))).cast("int")
     grid = full.groupBy("cluster").agg(blocks(F.coalesce(F.sum(F.when(F.col("out"), amount)), F.lit(0))).alias("xs"), blocks(F.sum(amount)).alias("ys"))
-    dealt = full.join(grid, "cluster")
+    dealt = full.join(small(materialize(grid, "forest-grid")), "cluster")
     number = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     outer = dealt.where("out").select("cluster", number("xs").alias("x"), every("ys").alias("y"), F.lit(0).alias("side"), "id", "of", "set")
