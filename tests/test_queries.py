@@ -89,7 +89,7 @@ def test_vectors_with_nulls(spark):
 
 
 def test_tfidf_against_all_pairs(spark):
-    """The prefix filter loses no pair, at low and high scores."""
+    """No pair is lost, at low and high scores."""
     pick = random.Random(3)
     words = [f"{pick.choice('abc')}{pick.choice('xyz')}{i % 30}" for i in range(60)]
     rows = [(f"S{1 + i % 2}-{i}", i % 2, "c" if i % 5 else "d", " ".join(pick.choice(words) for _ in range(pick.randint(0, 6)))) for i in range(120)]
