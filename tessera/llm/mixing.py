@@ -38,7 +38,8 @@ from tessera.llm.common import drop_tables, key_part, materialize, small
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-SHARDS = 32
+#: Shards that there are at least, and words of a shard, about: their number grows with the data, so that a task can order a shard's rows.
+SHARDS, SHARD_WORDS = 32, 20_000_000
 #: Words and documents of a block, about.
 BLOCK_WORDS, BLOCK_DOCS = 100_000, 20_000
 SEED = 20
@@ -166,7 +167,7 @@ def sizes(docs: DataFrame, *, id_col: str, text_col: str, source_col: str) -> Da
     return docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("text_key"))
 
 
-def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeat: int = MAX_REPEAT, shards: int = SHARDS,
+def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeat: int = MAX_REPEAT, shards: int | None = None,
          block_words: int = BLOCK_WORDS, block_docs: int = BLOCK_DOCS, seed: int = SEED) -> DataFrame:
     """Per row: id, source, size, text_key, source_size, target, block, and draws: a struct (epoch, shard, place) for each time it is taken, place ordering the rows of a shard."""
     sized = materialize(sizes(docs, id_col=id_col, text_col=text_col, source_col=source_col).withColumn("source_key", key_part(F.col("source"))), "mix-sizes")
@@ -194,6 +195,8 @@ def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sou
     quotas = blocks.groupBy("number").agg((F.first("whole") * F.first("blocks") + F.coalesce(F.max(F.when(F.col("before") < F.col("rest"), F.col("rank") + 1)), F.lit(0))).alias("quota"))
 
     # The shards' runs of slots say which blocks are drawn, and where.
+    if shards is None:
+        shards = max(SHARDS, math.ceil((per_source.agg(F.sum("source_size")).first()[0] or 0) / SHARD_WORDS))
     cut = split_quotas(quotas, shards, seed)
     runs = materialize(cut.where("n > 0").groupBy("number").agg(F.array_sort(F.collect_list(F.struct("first", "shard", "n"))).alias("runs")), "mix-runs")
     slot = lambda p, e: e * F.col("blocks") + p
