@@ -222,11 +222,12 @@ class BestFit:
 
 
 def pack(cut: DataFrame, *, capacity: int = CAPACITY, open_sequences: int = OPEN, task_pieces: int = TASK_PIECES, seed: int = 7) -> DataFrame:
-    """A written table of pieces with sequence_id and offset."""
+    """A written table of pieces with sequence_id and offset.  A column ``row``, if there is one, tells repeated rows apart, which are then dealt apart."""
     tasks = max(1, -(-cut.count() // task_pieces))
-    order = F.xxhash64("id", "piece", F.lit(seed))
-    dealt = cut.withColumn("task", F.pmod(order, F.lit(tasks)).cast("long")).withColumn("order", order)
-    dealt = dealt.repartition(tasks, "task").sortWithinPartitions("task", "order", "id", "piece", "ids_crc32")
+    order = F.xxhash64("id", "piece", F.lit(seed), *(["row"] if "row" in cut.columns else []))
+    dealt = cut.withColumn("task", F.pmod(order, F.lit(tasks)).cast("long")).withColumn("order", order).drop("row")
+    dealt = dealt.repartitionById(tasks, F.col("task").cast("int")).sortWithinPartitions("task", "order", "id", "piece", "ids_crc32")
+    cut = cut.drop("row")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, packer = None, None
@@ -250,7 +251,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", t
                    group_bytes: int = GROUP_BYTES, **options: int) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     cut = materialize(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end=end, ids=ids,
-                             cache_words=cache_words, cache_letters=cache_letters, keep_cache=keep_cache, group_bytes=group_bytes), "pack-pieces")
+                             cache_words=cache_words, cache_letters=cache_letters, keep_cache=keep_cache, group_bytes=group_bytes)
+                      .withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
     return pack(cut, capacity=capacity, **options)
 
 
