@@ -2,11 +2,11 @@
 
 A logistic regression over statistics of the whole text and hashed words gives
 each document's own evidence.  It is fitted here on at most ``fit_rows`` labelled rows,
-taken in order of a hash.  Sites add theirs: labels are counted by host and
+taken in order of a hash (at most twice as many rows, if ids repeat).  Sites add theirs: labels are counted by host and
 by (host, path), a host's good rate is a Beta posterior around the global
 rate, a path's one around its host's, and the prior strengths are estimated from the
 spread of the groups (method of moments).  A sparse site is thus shrunk to its host,
-a sparse host to the global rate.  The score is the document's log-odds plus the
+a sparse host to the global rate.  Here the host is the column ``source`` and the path the column ``lang``, unless named otherwise.  The score is the document's log-odds plus the
 path's posterior log-odds minus the prior log-odds that the classifier already holds.
 
 Group counts are pre-aggregated sums.  A labelled document's own label is not
@@ -35,6 +35,7 @@ from tessera.llm.quality_rules import measure_text
 
 FIT_ROWS = 8_000
 BUCKETS = 1 << 12
+#: Documents are dropped when bad is more than four times as likely as good: dropping a good one costs four times as much as keeping a bad one.
 CUTOFF = 0.2
 _DENSE = 12
 
@@ -131,10 +132,13 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc
         claim("classifier", _buckets.clear)
         for batch in batches:
             found = [features(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()),
-                                              pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], names=["quality", "i", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("quality"), pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()),
+                                              pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], names=["id", "quality", "i", "v"])
 
-    sample = rows.join(chosen, "id").select("quality", "text").mapInArrow(extract, "quality int, i binary, v binary").limit(2 * fit_rows).collect()
+    kind = rows.schema["id"].dataType.simpleString()
+    sample = rows.join(chosen, "id").select("id", "quality", "text").mapInArrow(extract, f"id {kind}, quality int, i binary, v binary")
+    # Ids may repeat; in this order reruns take the same rows and add them up alike.
+    sample = sample.orderBy(F.xxhash64("id", F.lit(10)), "id", "i", "v").limit(2 * fit_rows).collect()
     y = np.array([r.quality for r in sample], float)
     if 0 < y.sum() < len(y):
         weight = fit([(np.frombuffer(r.i, "<i4").astype(np.int64), np.frombuffer(r.v, "<f4").astype(float)) for r in sample], y)
