@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.functions.similarity import jaro_winkler, lcs, partial_ratio, ratio, token_set_ratio, token_sort_ratio
+from tessera.functions.similarity import KERNELS, LONGEST, jaro_winkler, lcs, partial_ratio, ratio, scores, token_set_ratio, token_sort_ratio
 from tessera.operators.normalize import normalize
 
 ROWS = [
@@ -110,3 +110,31 @@ def test_kernels():
             assert abs(partial_ratio(a, b) - max(2 * dp_lcs(short, c) / (len(short) + len(c)) for c in cuts)) < 1e-12
     assert ratio("", "") == 1.0 and token_sort_ratio("b a", "a b") == 1.0 and token_set_ratio("a b", "a b c") == 1.0 and token_set_ratio("", "") == 0.0
     assert round(jaro_winkler("martha", "marhta"), 4) == 0.9611 and jaro_winkler("", "a") == 0.0 and jaro_winkler("a", "a") == 1.0
+
+
+def test_kernels_in_tiles():
+    """Tiles give what the functions of one pair give: other letters, pairs as long, copies, texts too long for a tile."""
+    pick = random.Random(5)
+    word = lambda n, letters: "".join(pick.choice(letters) for _ in range(pick.randint(0, n)))
+    pairs = [("", ""), ("", "a"), (" ", "a b"), ("a b", "b a")]
+    for most, letters, count in ((12, "abc d", 1500), (70, "abcdefgh  ij", 400), (140, "abcdefghijklmnopq  rs", 100), (LONGEST + 50, "ab cdef", 12), (6, "äकb 漢", 200)):
+        pairs += [(word(most, letters), word(most, letters)) for _ in range(count)]
+    for text_ in [word(60, "abcdef gh") for _ in range(100)]:
+        mixed = "".join(pick.sample(text_, len(text_)))
+        pairs += [(text_, mixed), (text_, text_), (text_, text_[5:30]), (text_, mixed)]
+    pairs += [(chr(300 + i), chr(300 + i) + "x") for i in range(300)]  # more letters than a byte holds
+    got = scores(tuple(KERNELS), [p[0] for p in pairs], [p[1] for p in pairs])
+    for name, one in KERNELS.items():
+        assert got[name].tolist() == [one(*p) for p in pairs], name
+
+
+def test_records_take_ten_words(spark, tmp_path):
+    """However a text begins and whatever comes after its words."""
+    from tessera.sources import projection
+
+    texts = ["", "  ", " a b", "a b c d e f g h i j", "\n1 2 3 4 5 6 7 8 9 10 11 12 13", "1 2 3 4 5 6 7 8 9 10 ", None, "x " * 40]
+    spark.createDataFrame([(10 * i, t, "en", "src0") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r.text: (r.business_name, r.business_address) for r in projection.records(spark, f"file://{tmp_path}").collect()}
+    for i, t in enumerate(texts):
+        w = None if t is None else re.findall(r"[^ \n\t\r]+", t)
+        assert got[t] == ((None, None) if w is None else (" ".join(w[:8]), f"{10 * i} Main St, {' '.join(w[8:10])}, NC {10 * i % 97:05d}"))
