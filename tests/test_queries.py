@@ -163,3 +163,21 @@ def test_sources(spark, tmp_path):
     truth = tables.read_truth(spark, f"file://{tmp_path}/t.tsv")
     assert truth.count() == 2
     assert sorted(map(tuple, tables.explode_truth(truth).collect())) == [("S1-1", "S2-1"), ("S1-1", "S3-2")]
+
+
+def test_tfidf_in_chunks(spark):
+    """Chunks of a few rows give the best of all, ties and copies by id, as all pairs do."""
+    pick = random.Random(9)
+    texts = ["".join(pick.choice("ab ") for _ in range(pick.randint(0, 12))) for _ in range(25)]
+    rows = [(f"S{1 + i % 2}-{i}", i % 2, "c" if i % 7 else "d", pick.choice(texts)) for i in range(150)]
+    df = spark.createDataFrame(rows, "entity_id string, n int, country string, t string")
+    vocabulary = retrieval.tfidf_vocabulary(df.select(df.t.alias("text"))).withColumn("id", retrieval.F.monotonically_increasing_id()).cache()
+    sides = [retrieval.packed(retrieval.tfidf_weights(df.where(f"n = {i}"), vocabulary, "t", key="id")) for i in (0, 1)]
+    a, b = ([(r.entity_id, r.country, dict(zip(r.grams, r.weights, strict=True))) for r in s.collect()] for s in sides)
+    want = []
+    for i, c, x in a:
+        found = [(-round(sum(v * y.get(g, 0.0) for g, v in x.items()), 9), j) for j, d, y in b if c == d]
+        want += [(i, j) for v, j in sorted(f for f in found if -f[0] >= 0.2)[:4]]
+    for chunk in (7, 1000):
+        got = retrieval.tfidf_top(*sides, top_k=4, min_score=0.2, chunk=chunk).collect()
+        assert len(want) > 100 and sorted((r[0], r[1]) for r in got) == sorted(want)
