@@ -181,3 +181,18 @@ def test_tfidf_in_chunks(spark):
     for chunk in (7, 1000):
         got = retrieval.tfidf_top(*sides, top_k=4, min_score=0.2, chunk=chunk).collect()
         assert len(want) > 100 and sorted((r[0], r[1]) for r in got) == sorted(want)
+
+
+def test_vectors_in_chunks(spark):
+    """As all pairs: copies and ties by id, chunks and blocks of a few rows."""
+    pick = random.Random(8)
+    vectors = [[pick.choice([0.0, 0.6, 0.8, -1.0]) for _ in range(3)] for _ in range(30)]
+    rows = [(f"V{i:03d}", "c" if i % 9 else "d", pick.choice(vectors)) for i in range(200)]
+    df = spark.createDataFrame(rows, "entity_id string, country string, vector array<double>")
+    want = []
+    for i, c, x in rows[:60]:
+        found = sorted((-round(sum(v * w for v, w in zip(x, y, strict=True)), 6) + 0.0, j) for j, d, y in rows if c == d)[:5]
+        want += [(i, j, -v) for v, j in found]
+    for chunk, block in ((11, 4), (1000, 1000)):
+        got = retrieval.vector_top(df.where("entity_id < 'V060'"), df, top_k=5, chunk=chunk, block=block).collect()
+        assert sorted((r[0], r[1], round(r[2] + 0.0, 6)) for r in got) == sorted((i, j, v + 0.0) for i, j, v in want)
