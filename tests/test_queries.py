@@ -196,3 +196,23 @@ def test_vectors_in_chunks(spark):
     for chunk, block in ((11, 4), (1000, 1000)):
         got = retrieval.vector_top(df.where("entity_id < 'V060'"), df, top_k=5, chunk=chunk, block=block).collect()
         assert sorted((r[0], r[1], round(r[2] + 0.0, 6)) for r in got) == sorted((i, j, v + 0.0) for i, j, v in want)
+
+
+def test_training_features_are_of_labelled_pairs(spark, monkeypatch):
+    """Pairs that training leaves out get no features; those that it takes have the same as all pairs have."""
+    from tessera.plans import queries
+
+    seen, made = [], queries.features.pair_features
+    monkeypatch.setattr(queries.features, "pair_features", lambda pairs, *sides: seen.append(pairs) or made(pairs, *sides))
+    labelled = queries._quality(spark, SF)
+    assert "label" in seen[0].columns and labelled.count() == seen[0].count()
+    every = QUERIES["pair_features_full"](spark, SF)
+    assert labelled.select(every.columns).exceptAll(every).count() == 0
+
+
+def test_gram_features_are_the_expressions(spark):
+    """The features that come from strings in tiles equal the column expressions."""
+    names = {"name_char_3gram_cosine", "name_char_4gram_cosine", "addr_char_3gram_cosine", "name_trigram_jaccard"}
+    columns = ["source1_entity_id", "other_entity_id", *sorted(names)]
+    got, want = (QUERIES[q](spark, SF).select(columns[:2] + [retrieval.F.round(c, 6).alias(c) for c in columns[2:]]) for q in ("pair_features_full", "native_pair_features"))
+    assert canon(got.collect()) == canon(want.collect())
