@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, minhash, mixing, packing, quality_rules
-from tessera.llm.common import materialize
+from tessera.llm.common import materialize, rest
 from tessera.llm.registry import tokenizer_path
 
 
@@ -23,6 +23,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates (five-word shingles, similarity 0.8 or more), the smallest doc_id stays."""
+    rest(spark)  # the stage that needs most memory begins without what others have left
     return minhash.filter_documents(docs)
 
 
@@ -33,6 +34,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every row, with its sequence and place; rows that the mix has taken more than once are dealt apart."""
+    rest(spark)
     # Small caches and groups: a worker's memory also holds what earlier stages left.
     found = packing.pack_documents(docs, tokenizer_path(), cache_words=200_000, cache_letters=200_000, keep_cache=False, group_bytes=1 << 20)
     return found.withColumnRenamed("id", "doc_id")

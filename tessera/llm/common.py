@@ -91,7 +91,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_tables(*tables: DataFrame, clean: bool = False) -> None:
-    """Deletes tables of materialize() that nothing reads any more; with clean, lets Spark's cleaner see which shuffles are no longer needed."""
+    """Deletes tables of materialize() that nothing reads any more; with clean, lets Spark's cleaner see which shuffles are no longer needed, and rests the executors."""
     for t in tables:
         spark, path = t.sparkSession, _written.pop(t)
         jvm = spark.sparkContext._jvm
@@ -100,6 +100,16 @@ def drop_tables(*tables: DataFrame, clean: bool = False) -> None:
     if clean:
         gc.collect()
         SparkSession.active().sparkContext._jvm.System.gc()
+        rest(SparkSession.active())
+
+
+def rest(spark: SparkSession) -> int:
+    """Called between stages: executors collect their garbage and give heap back to the system, as they would otherwise keep all that any stage has ever needed.
+
+    A task for each core; returns their number.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return len(spark.range(0, cores, 1, cores).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).collect())
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import chat, exact_dedup, license_scan, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, registry, warc
-from tessera.llm.common import components
+from tessera.llm.common import components, drop_tables, rest
 from tessera.llm.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
@@ -339,6 +339,19 @@ def test_components(spark):
     assert all(components(spark.createDataFrame([], "a long, b long"), one_task=n).count() == 0 for n in (10**6, -1))
 
 
+def test_executors_rest(spark, docs, monkeypatch):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    before = sum(b.getCollectionCount() for b in beans)
+    assert rest(spark) == spark.sparkContext.defaultParallelism
+    assert sum(b.getCollectionCount() for b in beans) > before
+    seen = []
+    monkeypatch.setattr("tessera.llm.common.rest", seen.append)
+    monkeypatch.setattr("corpus_pipeline.rest", seen.append)
+    drop_tables(clean=True)
+    assert len(seen) == 1
+    assert corpus_pipeline.near(spark, docs, "").count() and len(seen) >= 3
+
+
 def test_license_scan(docs, spark):
     phrases = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
