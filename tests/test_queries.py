@@ -183,6 +183,21 @@ def test_tfidf_in_chunks(spark):
         assert len(want) > 100 and sorted((r[0], r[1]) for r in got) == sorted(want)
 
 
+def test_packed_weights(spark, monkeypatch):
+    """As packed(tfidf_weights()), also of ids that stand in two countries, null ids and countries, and with a vocabulary too large for a broadcast; no gram rows are shuffled otherwise."""
+    pick = random.Random(5)
+    rows = [(pick.choice([None, *(f"S1-{i}" for i in range(20))]), pick.choice(["c", "d", None]), pick.choice([None, "", "zz top zz", "a", "ab ba abba", "qqq"]) ) for _ in range(80)]
+    df = spark.createDataFrame(rows, "entity_id string, country string, t string")
+    vocabulary = tables.written(retrieval.tfidf_vocabulary(df.select(df.t.alias("text")), min_df=1, max_df=0.9).withColumn("id", retrieval.F.monotonically_increasing_id()), "v")
+    flat = lambda d: sorted((str(r.entity_id), str(r.country), list(r.grams), [round(w, 9) for w in r.weights]) for r in d.collect())
+    want = flat(retrieval.packed(retrieval.tfidf_weights(df, vocabulary, "t", key="id")))
+    got = retrieval.packed_weights(df, vocabulary, "t")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(want) > 30 and flat(got) == want and "SortMergeJoin" not in plan
+    monkeypatch.setattr(retrieval, "BROADCAST_GRAMS", 0)
+    assert flat(retrieval.packed_weights(df, vocabulary, "t")) == want
+
+
 def test_vectors_in_chunks(spark):
     """As all pairs: copies and ties by id, chunks and blocks of a few rows."""
     pick = random.Random(8)
