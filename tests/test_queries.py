@@ -198,6 +198,16 @@ def test_packed_weights(spark, monkeypatch):
     assert flat(retrieval.packed_weights(df, vocabulary, "t")) == want
 
 
+def test_pool_makes_only_what_it_reads(spark, monkeypatch):
+    """The pool of names parses no addresses."""
+    from tessera.plans import queries
+
+    seen, written = {}, tables.written
+    monkeypatch.setattr(queries.tables, "written", lambda df, name: seen.setdefault(name, df.columns) and written(df, name))
+    assert QUERIES["legacy_pool"](spark, SF).count()
+    assert seen["records"] == ["entity_id", "n", "country", "norm_name", "name_tokens"]
+
+
 def test_vectors_in_chunks(spark):
     """As all pairs: copies and ties by id, chunks and blocks of a few rows."""
     pick = random.Random(8)
