@@ -5,10 +5,11 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.plans.oracle import ORACLE
 from tessera.plans.queries import QUERIES
-from tessera.operators import blocking, retrieval
+from tessera.operators import blocking, evaluation, retrieval
 from tessera.plans import linkage
 from tessera.sources import projection, tables
 
@@ -241,3 +242,14 @@ def test_gram_features_are_the_expressions(spark):
     columns = ["source1_entity_id", "other_entity_id", *sorted(names)]
     got, want = (QUERIES[q](spark, SF).select(columns[:2] + [retrieval.F.round(c, 6).alias(c) for c in columns[2:]]) for q in ("pair_features_full", "native_pair_features"))
     assert canon(got.collect()) == canon(want.collect())
+
+
+def test_bare_pairs_are_labelled_in_one_shuffle(spark):
+    """Pairs that repeat count once, and go by entity only once: not again for their labels and their order."""
+    pairs = spark.createDataFrame([("S1-1", f"S2-{i % 7}") for i in range(40)] + [("S1-2", "S3-1"), ("S1-2", "S3-1")], evaluation.PAIR)
+    truth = spark.createDataFrame([("S1-1", "S2-3"), ("S1-2", "S3-9")], evaluation.PAIR)
+    got = evaluation.labeled_pairs(pairs, truth, 4)
+    want = evaluation.labeled_pairs(pairs.distinct().withColumn("x", F.lit(1)), truth, 4).drop("x")
+    assert canon(got.select(*want.columns).collect()) == canon(want.collect()) and got.count() == 6
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
