@@ -253,3 +253,25 @@ def test_bare_pairs_are_labelled_in_one_shuffle(spark):
     assert canon(got.select(*want.columns).collect()) == canon(want.collect()) and got.count() == 6
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_best_of_blocks_are_those_of_all_pairs(spark, monkeypatch):
+    """Postal codes that many records share: the capped candidates are those of all pairs, without the pairs being made."""
+    rows = projection.records(spark, SF).drop("text").withColumn("business_address", F.lit("1 Main St, Boone, NC 28607"))
+    s1, s2 = (tables.written(linkage.normalize(rows.where(f"n = {i}")), "records") for i in (0, 1))
+    monkeypatch.setattr(blocking, "MEETING", 7)
+    best = blocking.best_of_blocks(s1, s2, "zip", 4)
+    every = linkage.features.quick_score(blocking.block(s1, s2, "zip"), s1, s2)
+    want = linkage.cap_top(every, "_q", 4).select(*evaluation.PAIR)
+    assert canon(best.collect()) == canon(want.collect()) and best.count() < every.count()
+    got = linkage.candidates(s1, s2, linkage.Config(vectors=False, max_lexical=4)).select(*evaluation.PAIR)
+    pool = linkage.features.quick_score(blocking.lexical_candidates(s1, s2), s1, s2)
+    assert canon(got.collect()) == canon(linkage.cap_top(pool, "_q", 4).select(*evaluation.PAIR).collect())
+
+
+def test_inference_takes_what_training_made(spark, monkeypatch):
+    """One run over the same sources plans and makes records and features once, each source's candidates by themselves."""
+    made, put = [], tables.Checkpoints.put
+    monkeypatch.setattr(tables.Checkpoints, "put", lambda self, stage, df: made.append(stage) or put(self, stage, df))
+    assert QUERIES["end_to_end_matches"](spark, SF).count()
+    assert {"train-candidates2", "train-candidates3", "train-features"} <= set(made) and not {"infer-source1", "infer-features"} & set(made)

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import text
+from tessera.functions import similarity, text
 from tessera.functions.similarity import KERNELS, LONGEST, jaro_winkler, lcs, partial_ratio, ratio, scores, token_set_ratio, token_sort_ratio
 from tessera.operators.normalize import normalize
 
@@ -138,3 +138,17 @@ def test_records_take_ten_words(spark, tmp_path):
     for i, t in enumerate(texts):
         w = None if t is None else re.findall(r"[^ \n\t\r]+", t)
         assert got[t] == ((None, None) if w is None else (" ".join(w[:8]), f"{10 * i} Main St, {' '.join(w[8:10])}, NC {10 * i % 97:05d}"))
+
+
+def test_best_token_sets(monkeypatch):
+    """As all pairs scored one by one: ties by place, empty texts, contained ones, many rounds."""
+    pick = random.Random(3)
+    words = ["".join(pick.choice("abcdehtn") for _ in range(pick.randint(1, 6))) for _ in range(60)]
+    made = lambda n: [" ".join(pick.choice(words) for _ in range(pick.choice([0, 1, 2, 5, 8, 9, 40]))) for _ in range(n)]
+    for most in (1 << 18, 50):
+        monkeypatch.setattr(similarity, "MEET", most)
+        for n, m, k in ((40, 60, 10), (5, 3, 10), (1, 200, 3), (60, 60, 1), (0, 5, 3), (4, 0, 2)):
+            a, b = made(n), made(m)
+            want = [(i, j) for i, s in enumerate(a) for _, j in sorted((-100 * token_set_ratio(s, t), j) for j, t in enumerate(b))[:k]]
+            i, j = similarity.best_token_sets(a, b, k)
+            assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(want)
