@@ -275,3 +275,20 @@ def test_inference_takes_what_training_made(spark, monkeypatch):
     monkeypatch.setattr(tables.Checkpoints, "put", lambda self, stage, df: made.append(stage) or put(self, stage, df))
     assert QUERIES["end_to_end_matches"](spark, SF).count()
     assert {"train-candidates2", "train-candidates3", "train-features"} <= set(made) and not {"infer-source1", "infer-features"} & set(made)
+
+
+def test_blockers_are_planned_one_at_a_time(spark, tmp_path, monkeypatch):
+    """Candidates are made of each blocker's written pairs, the driver rests after each, and the pairs go; the candidates are those of one plan."""
+    rows = projection.records(spark, SF).drop("text")
+    s1, s2 = (tables.written(linkage.normalize(rows.where(f"n = {i}")), "records") for i in (0, 1))
+    cfg, rested, plans, put = linkage.Config(vectors=False, max_lexical=4), [], {}, tables.Checkpoints.put
+    monkeypatch.setattr(tables.Checkpoints, "put", lambda self, stage, df: plans.update({stage: df._jdf.queryExecution().executedPlan().toString().count("Exchange")}) or put(self, stage, df))
+    monkeypatch.setattr(tables, "rest", lambda *a: rested.append(a[1:]))
+    stages = tables.Checkpoints(spark, f"file://{tmp_path}/stages")
+    linkage.featured(s1, [s2], cfg, stages, "t")
+    parts = [f"t-{k}2" for k in blocking.KINDS]
+    assert list(plans) == [*parts, "t-candidates2"] and len(rested) == 6 and rested[-1] == (True,)
+    assert not any(map(stages.has, parts))
+    whole = linkage.candidates(s1, s2, cfg)
+    assert max(plans.values()) < whole._jdf.queryExecution().executedPlan().toString().count("Exchange") / 2
+    assert canon(stages.get("t-candidates2").select(*evaluation.PAIR).collect()) == canon(whole.select(*evaluation.PAIR).collect())
