@@ -277,6 +277,14 @@ def test_inference_takes_what_training_made(spark, monkeypatch):
     assert {"train-candidates2", "train-candidates3", "train-features"} <= set(made) and not {"infer-source1", "infer-features"} & set(made)
 
 
+def test_pair_features_need_one_worker_for_a_task(spark):
+    """All scores of a pair come from one UDF; several would keep a Python worker each."""
+    s1, s2 = (linkage.normalize(projection.records(spark, SF).where(f"n = {i}").drop("text")) for i in (0, 1))
+    pairs = spark.createDataFrame([("S1-1", "S2-2")], "source1_entity_id string, other_entity_id string")
+    plan = linkage.features.pair_features(pairs, tables.written(s1, "records"), tables.written(s2, "records"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_blockers_are_planned_one_at_a_time(spark, tmp_path, monkeypatch):
     """Candidates are made of each blocker's written pairs, the driver rests after each, and the pairs go; the candidates are those of one plan."""
     rows = projection.records(spark, SF).drop("text")
